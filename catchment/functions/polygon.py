@@ -36,17 +36,20 @@ def edges(rings: Column) -> Column:
     return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 1), sides))
 
 
-def bounds(rings: Column) -> Column:
-    """STRUCT<x_min, y_min, x_max, y_max>, null when there is no vertex."""
+def bounds(rings: Column) -> dict[str, Column]:
+    """Box of a polygon as four named columns, null when there is no vertex.
+
+    Four columns and not one struct: Catalyst then keeps each in its own projection, where it would
+    inline a struct's fields into every later use.
+    """
     points = F.flatten(rings)
-    xs = F.transform(points, lambda p: p["lon"])
-    ys = F.transform(points, lambda p: p["lat"])
-    return F.struct(
-        F.array_min(xs).alias("x_min"),
-        F.array_min(ys).alias("y_min"),
-        F.array_max(xs).alias("x_max"),
-        F.array_max(ys).alias("y_max"),
-    )
+    lons, lats = F.transform(points, lambda p: p["lon"]), F.transform(points, lambda p: p["lat"])
+    return {
+        "_west": F.array_min(lons),
+        "_east": F.array_max(lons),
+        "_south": F.array_min(lats),
+        "_north": F.array_max(lats),
+    }
 
 
 def _turn(e: Column, lon: Column, lat: Column) -> Column:

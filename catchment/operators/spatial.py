@@ -21,6 +21,7 @@ CELLS_PER_AREA = 64
 COARSER_BY = 16
 
 CELL = ["_level", "_row", "_col"]
+BOX = ["_west", "_east", "_south", "_north"]
 
 
 def _cover(south: Column, north: Column, west: Column, east: Column) -> Column:
@@ -137,9 +138,8 @@ def _side(level: Column, cell_deg: float) -> Column:
 
 def _boxed(areas: DataFrame, cell_deg: float) -> DataFrame:
     """Polygons with box and grid level; those without a ring fall away."""
-    boxed = areas.withColumn("_box", polygon.bounds(F.col("rings"))).filter(F.col("_box.x_min").isNotNull())
-    span_x = F.col("_box.x_max") - F.col("_box.x_min")
-    span_y = F.col("_box.y_max") - F.col("_box.y_min")
+    boxed = areas.withColumns(polygon.bounds(F.col("rings"))).filter(F.col("_west").isNotNull())
+    span_x, span_y = F.col("_east") - F.col("_west"), F.col("_north") - F.col("_south")
     level = F.lit(0)
     for step in range(1, 4):
         side = cell_deg * COARSER_BY ** (step - 1)
@@ -155,10 +155,10 @@ def _listed(boxed: DataFrame, cell_deg: float) -> DataFrame:
             "_cell",
             F.explode(
                 _cover(
-                    _floor(F.col("_box.y_min"), side),
-                    _floor(F.col("_box.y_max"), side),
-                    _floor(F.col("_box.x_min"), side),
-                    _floor(F.col("_box.x_max"), side),
+                    _floor(F.col("_south"), side),
+                    _floor(F.col("_north"), side),
+                    _floor(F.col("_west"), side),
+                    _floor(F.col("_east"), side),
                 )
             ),
         )
@@ -204,8 +204,8 @@ def points_in_areas(
         match = match & (F.col(f"_p{key}") == F.col(key))
     match = (
         match
-        & x.between(F.col("_box.x_min"), F.col("_box.x_max"))
-        & y.between(F.col("_box.y_min"), F.col("_box.y_max"))
+        & x.between(F.col("_west"), F.col("_east"))
+        & y.between(F.col("_south"), F.col("_north"))
         & polygon.inside_edges(F.col("_sides"), x, y)
     )
     out = [*points.columns, *kept]
@@ -245,7 +245,7 @@ def shape_overlaps(shapes: DataFrame, key: str, cell_deg: float = AREA_CELL_DEG)
     boxed = _boxed(shapes.select(F.col(key).alias("_key"), "rings"), cell_deg)
     levels = _levels_in_use(boxed)
     measured = boxed.select(
-        "_key", "_box", "_level", polygon.area(F.col("rings")).alias("_area"), polygon.flat_edges(F.col("rings")).alias("_sides")
+        "_key", *BOX, "_level", polygon.area(F.col("rings")).alias("_area"), polygon.flat_edges(F.col("rings")).alias("_sides")
     )
     # A polygon is listed at its own level and at every coarser one in use, so sizes can meet.
     at = F.array(*[F.lit(v) for v in levels] or [F.lit(0)])
@@ -257,13 +257,13 @@ def shape_overlaps(shapes: DataFrame, key: str, cell_deg: float = AREA_CELL_DEG)
     left, right, keys = spread_hot_keys(listed, listed, CELL, ["_key"])
     left = left.select(*[F.col(c).alias(f"l{c}") for c in left.columns])
     right = right.select(*[F.col(c).alias(f"r{c}") for c in right.columns])
-    corner_x = F.greatest(F.col("l_box.x_min"), F.col("r_box.x_min"))
-    corner_y = F.greatest(F.col("l_box.y_min"), F.col("r_box.y_min"))
+    corner_x = F.greatest(F.col("l_west"), F.col("r_west"))
+    corner_y = F.greatest(F.col("l_south"), F.col("r_south"))
     side = _side(F.col("l_level"), cell_deg)
     match = (
         (F.col("l_key") <= F.col("r_key"))
-        & (corner_x < F.least(F.col("l_box.x_max"), F.col("r_box.x_max")))
-        & (corner_y < F.least(F.col("l_box.y_max"), F.col("r_box.y_max")))
+        & (corner_x < F.least(F.col("l_east"), F.col("r_east")))
+        & (corner_y < F.least(F.col("l_north"), F.col("r_north")))
         & (F.greatest(F.col("l_own"), F.col("r_own")) == F.col("l_level"))
         & (_floor(corner_x, side) == F.col("l_col"))
         & (_floor(corner_y, side) == F.col("l_row"))

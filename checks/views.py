@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from catchment.functions import polygon
+from catchment.functions.polygon import RINGS_TYPE
 
 # Outline of each polygon form in thousandths of a degree from the corner of its grid place.
 FORMS: list[list[list[tuple[int, int]]]] = [
@@ -30,24 +29,34 @@ FORMS: list[list[list[tuple[int, int]]]] = [
 EVENT_CODES = [110, 150, 211, 223, 235, 350, 410, 510, 810, 830, 999, 217]
 
 
-def div(a: Column, b: int) -> Column:
-    return F.floor(a / b).cast("bigint")
+def lat_of(key: str, per_region: int) -> str:
+    return f"(29 - 2 * (({key} div {per_region}) % 40)) * 1000"
 
 
-def pad(value: Column, width: int) -> Column:
-    return F.lpad(value.cast("string"), width, "0")
+def lon_of(key: str, per_region: int) -> str:
+    return f"(-99 + 3 * ((({key} div {per_region}) div 40) % 60)) * 1000"
 
 
-def region_lat(key: Column, per_region: int) -> Column:
-    return (F.lit(29) - 2 * (div(key, per_region) % 40)) * 1000
+def pad(value: str, width: int) -> str:
+    return f"lpad(cast({value} as string), {width}, '0')"
 
 
-def region_lon(key: Column, per_region: int) -> Column:
-    return (F.lit(-99) + 3 * (div(div(key, per_region), 40) % 60)) * 1000
+def pick(values: list, by: str) -> str:
+    """The value whose place is the remainder of ``by``."""
+    listed = ", ".join("null" if v is None else repr(v) for v in values)
+    return f"element_at(array({listed}), cast({by} % {len(values)} + 1 as int))"
 
 
-def geoid(key: Column) -> Column:
-    return F.concat(pad(10 + div(key, 1000000) % 90, 2), pad(key % 254, 3), pad(key % 1000000, 6))
+GEOID = f"concat({pad('10 + (p_partkey div 1000000) % 90', 2)}, {pad('p_partkey % 254', 3)}, {pad('p_partkey % 1000000', 6)})"
+
+FORM_LITERAL = "array({})".format(
+    ", ".join(
+        "array({})".format(
+            ", ".join("array({})".format(", ".join(f"struct({dx} as dx, {dy} as dy)" for dx, dy in ring)) for ring in form)
+        )
+        for form in FORMS
+    )
+)
 
 
 class Views:
@@ -64,128 +73,107 @@ class Views:
 
     @cached_property
     def branches(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        lat = (region_lat(k, 100) + k * 7919 % 2000) / 1000
-        lon = (region_lon(k, 100) + k * 4729 % 3000) / 1000
-        return self.table("supplier").select(
-            F.concat(F.lit("B"), pad(k, 6)).alias("branch_id"),
-            F.when(k % 17 == 3, F.lit(95.0)).otherwise(lat).alias("lat"),
-            F.when(k % 17 != 9, lon).alias("lon"),
+        return self.table("supplier").selectExpr(
+            f"concat('B', {pad('s_suppkey', 6)}) as branch_id",
+            f"if(s_suppkey % 17 = 3, 95.0D, ({lat_of('s_suppkey', 100)} + s_suppkey * 7919 % 2000) / 1000) as lat",
+            f"if(s_suppkey % 17 <> 9, ({lon_of('s_suppkey', 100)} + s_suppkey * 4729 % 3000) / 1000, null) as lon",
         )
 
     @cached_property
     def tract_points(self) -> DataFrame:
-        k = F.col("p_partkey")
-        code = geoid(k)
-        return self.table("part").select(
-            code.alias("geoid"),
-            ((region_lat(k, 2000) + k * 6151 % 2000) / 1000).alias("lat"),
-            ((region_lon(k, 2000) + k * 3571 % 3000) / 1000).alias("lon"),
-            F.substring(code, 1, 2).alias("state_fips"),
-            F.substring(code, 3, 3).alias("county_fips"),
-            F.substring(code, 6, 6).alias("ce_tract"),
-            F.when(k % 9 != 4, F.col("p_size") * 1000 + k % 7).cast("bigint").alias("area_land"),
-            F.when(k % 10 == 2, F.lit(0)).when(k % 10 != 7, k % 45 * 1000).cast("bigint").alias("area_water"),
+        return self.table("part").selectExpr(
+            f"{GEOID} as geoid",
+            f"({lat_of('p_partkey', 2000)} + p_partkey * 6151 % 2000) / 1000 as lat",
+            f"({lon_of('p_partkey', 2000)} + p_partkey * 3571 % 3000) / 1000 as lon",
+            "if(p_partkey % 9 <> 4, p_size * 1000 + p_partkey % 7, null) as area_land",
+            "case when p_partkey % 10 = 2 then 0L when p_partkey % 10 <> 7 then p_partkey % 45 * 1000 end as area_water",
         )
 
     @cached_property
-    def tracts(self) -> DataFrame:
-        k = F.col("p_partkey")
-        place = k % 2000
-        x0 = region_lon(k, 2000) + div(place, 40) * 60
-        y0 = region_lat(k, 2000) + place % 40 * 50
-
-        def outline(form: list[list[tuple[int, int]]]) -> Column:
-            return F.array(
-                *[
-                    F.array(
-                        *[F.struct(((x0 + dx) / 1000).alias("lon"), ((y0 + dy) / 1000).alias("lat")) for dx, dy in ring]
-                    )
-                    for ring in form
-                ]
-            )
+    def tract_codes(self) -> DataFrame:
+        return self.table("part").selectExpr(f"{GEOID} as geoid").selectExpr(
+            "geoid",
+            "substring(geoid, 1, 2) as state_fips",
+            "substring(geoid, 3, 3) as county_fips",
+            "substring(geoid, 6, 6) as ce_tract",
+        )
 
-        rings = F.when(place % 97 == 50, F.lit(None).cast(polygon.RINGS_TYPE))
-        for number, form in enumerate(FORMS):
-            rings = rings.when(place % 7 == number, outline(form))
-        code = geoid(k)
-        return self.table("part").select(
-            code.alias("geoid"),
-            F.substring(code, 1, 2).alias("state_fips"),
-            F.substring(code, 3, 3).alias("county_fips"),
-            F.substring(code, 6, 6).alias("ce_tract"),
-            F.coalesce(rings, F.array().cast(polygon.RINGS_TYPE)).alias("rings"),
+    @cached_property
+    def tracts(self) -> DataFrame:
+        placed = self.table("part").selectExpr(
+            f"{GEOID} as geoid",
+            f"{lon_of('p_partkey', 2000)} + ((p_partkey % 2000) div 40) * 60 as ox",
+            f"{lat_of('p_partkey', 2000)} + (p_partkey % 2000) % 40 * 50 as oy",
+            f"""if((p_partkey % 2000) % 97 = 50, array(),
+                   element_at({FORM_LITERAL}, cast((p_partkey % 2000) % {len(FORMS)} + 1 as int))) as form""",
+        )
+        return placed.selectExpr(
+            "geoid",
+            "substring(geoid, 1, 2) as state_fips",
+            "substring(geoid, 3, 3) as county_fips",
+            "substring(geoid, 6, 6) as ce_tract",
+            f"""cast(transform(form, r -> transform(r, p ->
+                   struct((ox + p.dx) / 1000 as lon, (oy + p.dy) / 1000 as lat))) as {RINGS_TYPE}) as rings""",
         )
 
     @cached_property
     def customers(self) -> DataFrame:
-        k = F.col("c_custkey")
-        lat = (region_lat(k, 1500) + k * 6577 % 2000) / 1000
-        lon = (region_lon(k, 1500) + k * 4241 % 3000) / 1000
-        return self.table("customer").select(
-            k.cast("string").alias("customer_id"), F.when(k % 19 != 5, lat).alias("latitude"), lon.alias("longitude")
+        return self.table("customer").selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            f"if(c_custkey % 19 <> 5, ({lat_of('c_custkey', 1500)} + c_custkey * 6577 % 2000) / 1000, null) as latitude",
+            f"({lon_of('c_custkey', 1500)} + c_custkey * 4241 % 3000) / 1000 as longitude",
         )
 
     @cached_property
     def isochrones(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        x = region_lon(k, 100) + k * 4729 % 3000
-        y = region_lat(k, 100) + k * 7919 % 2000
-        spread = self.table("supplier").select(
-            F.concat(F.lit("B"), pad(k, 6)).alias("bc_code"),
-            (y / 1000).alias("branch_latitude"),
-            (x / 1000).alias("branch_longitude"),
-            x.alias("x"),
-            y.alias("y"),
-            k.alias("k"),
-            F.explode(F.array(F.lit(5), F.lit(10))).alias("time_frame_minutes"),
+        placed = self.table("supplier").selectExpr(
+            f"concat('B', {pad('s_suppkey', 6)}) as bc_code",
+            f"{lon_of('s_suppkey', 100)} + s_suppkey * 4729 % 3000 as x",
+            f"{lat_of('s_suppkey', 100)} + s_suppkey * 7919 % 2000 as y",
+            "s_suppkey as k",
+            "explode(array(5, 10)) as time_frame_minutes",
         )
-        hx, hy = F.col("time_frame_minutes") * (10 + F.col("k") % 5), F.col("time_frame_minutes") * (8 + F.col("k") % 4)
-
-        def corner(sx: int, sy: int) -> Column:
-            return F.struct(
-                ((F.col("x") + sx * hx) / 1000).alias("lon"), ((F.col("y") + sy * hy) / 1000).alias("lat")
-            )
-
-        ring = F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1), corner(-1, -1))
-        return spread.select(
-            "bc_code", "branch_latitude", "branch_longitude", "time_frame_minutes", F.array(ring).alias("rings")
+        corners = ", ".join(
+            f"struct((x {sx} time_frame_minutes * (10 + k % 5)) / 1000 as lon, (y {sy} time_frame_minutes * (8 + k % 4)) / 1000 as lat)"
+            for sx, sy in ("--", "+-", "++", "-+", "--")
+        )
+        return placed.selectExpr(
+            "bc_code",
+            "y / 1000 as branch_latitude",
+            "x / 1000 as branch_longitude",
+            "time_frame_minutes",
+            f"array(array({corners})) as rings",
         )
 
     @cached_property
     def census_raw(self) -> DataFrame:
-        k = F.col("p_partkey")
-        tract6 = pad(k % 1000000, 6)
-        pop = F.col("p_size").cast("bigint") * 100 + k % 1000
-        return self.table("part").select(
-            F.when(k % 3 == 0, F.concat(F.lit(" "), (10 + div(k, 1000000) % 90).cast("string"), F.lit(" ")))
-            .otherwise((10 + div(k, 1000000) % 90).cast("string"))
-            .alias("_c2"),
-            (k % 254).cast("string").alias("_c3"),
-            F.when(k % 5 == 0, F.concat(F.substring(tract6, 1, 4), F.lit("."), F.substring(tract6, 5, 2)))
-            .otherwise((k % 1000000).cast("string"))
-            .alias("_c4"),
-            F.when(k % 4 == 0, F.lit(" T ")).otherwise(F.lit("F")).alias("_c5"),
-            F.lit("N").alias("_c6"),
-            F.lit("").alias("_c7"),
-            F.lit("D").alias("_c8"),
-            F.when(k % 2 == 0, F.lit("U")).otherwise(F.lit("R ")).alias("_c9"),
-            F.concat((k % 900).cast("string"), F.lit(".25")).alias("_c10"),
-            F.when(k % 6 == 0, F.lit("n/a")).otherwise((k * 3 % 70000).cast("string")).alias("_c11"),
-            F.when(k % 8 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), (k % 150).cast("string"), F.lit(".5 "))).alias("_c12"),
-            F.lit("65000").alias("_c13"),
-            F.when(k % 13 == 0, F.lit("9")).otherwise((k % 6).cast("string")).alias("_c14"),
-            F.when(k % 4 == 0, F.lit("X")).when(k % 4 == 1, F.lit("x")).otherwise(F.lit("")).alias("_c15"),
-            F.when(k % 5 == 0, F.lit(" X ")).otherwise(F.lit("")).alias("_c16"),
-            F.when(k % 7 == 0, F.lit("X")).otherwise(F.lit("I")).alias("_c17"),
-            F.when(k % 8 == 0, F.lit("X")).otherwise(F.lit("")).alias("_c18"),
-            F.when(k % 11 == 0, F.lit(""))
-            .when(k % 11 == 1, F.lit("  "))
-            .when(k % 11 == 2, F.lit("12.0"))
-            .when(k % 11 == 3, F.lit("abc"))
-            .when((k % 11 == 4) & (pop >= 1000), F.concat(div(pop, 1000).cast("string"), F.lit(","), pad(pop % 1000, 3)))
-            .otherwise(F.concat(F.lit(" "), pop.cast("string")))
-            .alias("_c22"),
+        keyed = self.table("part").selectExpr(
+            "p_partkey as k",
+            "cast(10 + (p_partkey div 1000000) % 90 as string) as s",
+            f"{pad('p_partkey % 1000000', 6)} as t6",
+            "p_size * 100 + p_partkey % 1000 as pop",
+        )
+        return keyed.selectExpr(
+            "if(k % 3 = 0, concat(' ', s, ' '), s) as _c2",
+            "cast(k % 254 as string) as _c3",
+            "if(k % 5 = 0, concat(substring(t6, 1, 4), '.', substring(t6, 5, 2)), cast(k % 1000000 as string)) as _c4",
+            "if(k % 4 = 0, ' T ', 'F') as _c5",
+            "'N' as _c6",
+            "'' as _c7",
+            "'D' as _c8",
+            "if(k % 2 = 0, 'U', 'R ') as _c9",
+            "concat(k % 900, '.25') as _c10",
+            "if(k % 6 = 0, 'n/a', cast(k * 3 % 70000 as string)) as _c11",
+            "if(k % 8 = 0, '', concat(' ', k % 150, '.5 ')) as _c12",
+            "'65000' as _c13",
+            "if(k % 13 = 0, '9', cast(k % 6 as string)) as _c14",
+            "case k % 4 when 0 then 'X' when 1 then 'x' else '' end as _c15",
+            "if(k % 5 = 0, ' X ', '') as _c16",
+            "if(k % 7 = 0, 'X', 'I') as _c17",
+            "if(k % 8 = 0, 'X', '') as _c18",
+            f"""case when k % 11 = 0 then '' when k % 11 = 1 then '  ' when k % 11 = 2 then '12.0' when k % 11 = 3 then 'abc'
+                     when k % 11 = 4 and pop >= 1000 then concat(pop div 1000, ',', {pad('pop % 1000', 3)})
+                     else concat(' ', pop) end as _c22""",
         )
 
     # ------------------------------------------------------------ bank
@@ -193,176 +181,147 @@ class Views:
     @cached_property
     def deposits(self) -> DataFrame:
         orders, customer, nation = self.table("orders"), self.table("customer"), self.table("nation")
-        k, c = F.col("o_orderkey"), F.col("o_custkey")
         return (
-            orders.join(customer, c == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.year("o_orderdate").alias("YEAR"),
-                (c % 50).alias("CERT"),
-                F.element_at(F.array(*[F.lit(v) for v in ("N", "NM", "SM", "SB", "SA", "NC")]), (c % 6 + 1).cast("int")).alias("BKCLASS"),
-                F.col("n_name").alias("STALPBR"),
-                F.col("c_mktsegment").alias("CNTYNAMB"),
-                k.alias("UNINUMBR"),
-                F.col("o_totalprice").cast("decimal(18,2)").alias("DEPSUMBR"),
-                (F.col("o_totalprice").cast("decimal(18,2)") * (c % 3 + 1)).cast("decimal(18,2)").alias("DEPSUM"),
-                (k * 7 % 100000).cast("string").alias("ZIP_RAW"),
+            orders.join(customer, orders.o_custkey == customer.c_custkey)
+            .join(nation, customer.c_nationkey == nation.n_nationkey)
+            .selectExpr(
+                "year(o_orderdate) as YEAR",
+                "o_custkey % 50 as CERT",
+                f"{pick(['N', 'NM', 'SM', 'SB', 'SA', 'NC'], 'o_custkey')} as BKCLASS",
+                "n_name as STALPBR",
+                "c_mktsegment as CNTYNAMB",
+                "o_orderkey as UNINUMBR",
+                "cast(o_totalprice as decimal(18,2)) as DEPSUMBR",
+                "cast(cast(o_totalprice as decimal(18,2)) * (o_custkey % 3 + 1) as decimal(18,2)) as DEPSUM",
+                "cast(o_orderkey * 7 % 100000 as string) as ZIP_RAW",
             )
         )
 
     @cached_property
     def institutions(self) -> DataFrame:
-        k = F.col("c_custkey")
-
-        def pick(values: list[str | None], by: Column) -> Column:
-            return F.element_at(F.array(*[F.lit(v) for v in values]), (by % len(values) + 1).cast("int"))
-
-        def event(i: Column) -> Column:
-            return F.struct(
-                F.element_at(F.array(*[F.lit(v) for v in EVENT_CODES]), ((k * 3 + i * 5) % len(EVENT_CODES) + 1).cast("int"))
-                .alias("ACT_EVT_NUM"),
-                ((k * 7 + i * 11) % 40 - 5).alias("ORG_ACQ_CERT_NUM"),
-                F.when(i % 3 == 0, F.col("c_name"))
-                .otherwise(F.concat(F.lit("Old Name "), ((k + i) % 4).cast("string")))
-                .alias("NAME"),
-                F.concat(F.lit("2019010"), (1 + F.when((k + i) % 4 == 0, (k + 1) % 2).otherwise(k % 2)).cast("string"))
-                .alias("EFFDATE"),
-                F.lit("99991231").alias("ENDEFYMD"),
-                F.concat(F.lit("2020-0"), (1 + (k + i * i) % 3).cast("string"), F.lit("-15T00:00:00")).alias("PROCDATE"),
-                F.when((k + i) % 3 == 0, F.lit("DIF")).otherwise(F.lit("None")).alias("INSAGNT1"),
-                ((k * 13 + i * 977) % 100000).cast("string").alias("ZIP_RAW"),
-            )
-
-        n = (k % 6).cast("int")
-        events = F.when(k % 23 != 0, F.transform(F.slice(F.sequence(F.lit(0), F.lit(5)), F.lit(1), n), event))
-        return self.table("customer").select(
-            k.alias("CERT"),
-            F.col("c_name").alias("NAME"),
-            pick(["Y", "y", "N", None], k).alias("INST_FIN_ACTV_FLG"),
-            pick(["1", "0", None], k).alias("CBSA_METRO_FLG"),
-            (10000 + k % 500).cast("string").alias("CBSA_NO"),
-            F.concat(F.lit("Metro "), (k % 500).cast("string")).alias("CBSA"),
-            pick(["CFPB", "OCC", "cfpb", None], k).alias("REGAGENT2"),
-            pick(["31-Dec-99", "01-Jan-20"], div(k, 4)).alias("CFPB_END_TEXT"),
-            pick(["OCC", "State", "OTS", "state", None], k).alias("CHRTAGNT"),
-            pick(["Y", "L", "N"], k).alias("INST_IBA_FLG"),
-            pick(["y", "N"], k).alias("LAW_SASSER_FLG"),
-            pick(["BIF", "SAIF", "DIF", "None", None], k).alias("INSAGNT1"),
-            pick(["SAIF", "DIF"], k).alias("INSAGNT2"),
-            pick(["N", "SM", "nm", "NC", "SB", "sm"], k).alias("BKCLASS"),
-            F.element_at(F.array(*[F.lit(v) for v in (100, 110, 115, 120, 130, 135, 140)]), (k % 7 + 1).cast("int")).alias("ORG_TYP_NUM"),
-            (k % 12).cast("int").alias("SPECGRP"),
-            pick(["16", "05"], k).alias("SUPRV_FD"),
-            F.concat(F.lit("2019010"), (1 + k % 2).cast("string")).alias("ORG_EFF_NUM_DTE"),
-            F.lit("99991231").alias("ORG_END_NUM_DTE"),
-            F.concat(F.lit("2001-0"), (1 + k % 9).cast("string"), F.lit("-11T00:00:00")).alias("INST_FIN_ESTB_DTE"),
-            F.when(k % 5 == 0, F.lit("bad")).otherwise(F.concat(F.lit("19"), (10 + k % 80).cast("string"), F.lit("-12-01T08:30:00")))
-            .alias("POL_1_INS_BEG_DTE"),
-            F.when(k % 9 != 0, (k * 31 % 100000).cast("string")).alias("ZIP_RAW"),
-            events.alias("EVENTS"),
+        k = "c_custkey"
+        event = f"""struct(
+            {pick(EVENT_CODES, f'({k} * 3 + i * 5)')} as ACT_EVT_NUM,
+            ({k} * 7 + i * 11) % 40 - 5 as ORG_ACQ_CERT_NUM,
+            if(i % 3 = 0, c_name, concat('Old Name ', ({k} + i) % 4)) as NAME,
+            concat('2019010', 1 + if(({k} + i) % 4 = 0, ({k} + 1) % 2, {k} % 2)) as EFFDATE,
+            '99991231' as ENDEFYMD,
+            concat('2020-0', 1 + ({k} + i * i) % 3, '-15T00:00:00') as PROCDATE,
+            if(({k} + i) % 3 = 0, 'DIF', 'None') as INSAGNT1,
+            cast(({k} * 13 + i * 977) % 100000 as string) as ZIP_RAW)"""
+        return self.table("customer").selectExpr(
+            f"{k} as CERT",
+            "c_name as NAME",
+            f"{pick(['Y', 'y', 'N', None], k)} as INST_FIN_ACTV_FLG",
+            f"{pick(['1', '0', None], k)} as CBSA_METRO_FLG",
+            f"cast(10000 + {k} % 500 as string) as CBSA_NO",
+            f"concat('Metro ', {k} % 500) as CBSA",
+            f"{pick(['CFPB', 'OCC', 'cfpb', None], k)} as REGAGENT2",
+            f"{pick(['31-Dec-99', '01-Jan-20'], f'({k} div 4)')} as CFPBENDDTE",
+            f"{pick(['OCC', 'State', 'OTS', 'state', None], k)} as CHRTAGNT",
+            f"{pick(['Y', 'L', 'N'], k)} as INST_IBA_FLG",
+            f"{pick(['y', 'N'], k)} as LAW_SASSER_FLG",
+            f"{pick(['BIF', 'SAIF', 'DIF', 'None', None], k)} as INSAGNT1",
+            f"{pick(['SAIF', 'DIF'], k)} as INSAGNT2",
+            f"{pick(['N', 'SM', 'nm', 'NC', 'SB', 'sm'], k)} as BKCLASS",
+            f"{pick([100, 110, 115, 120, 130, 135, 140], k)} as ORG_TYP_NUM",
+            f"cast({k} % 12 as int) as SPECGRP",
+            f"{pick(['16', '05'], k)} as SUPRV_FD",
+            f"concat('2019010', 1 + {k} % 2) as ORG_EFF_NUM_DTE",
+            "'99991231' as ORG_END_NUM_DTE",
+            f"concat('2001-0', 1 + {k} % 9, '-11T00:00:00') as INST_FIN_ESTB_DTE",
+            f"if({k} % 5 = 0, 'bad', concat('19', 10 + {k} % 80, '-12-01T08:30:00')) as POL_1_INS_BEG_DTE",
+            f"if({k} % 9 <> 0, cast({k} * 31 % 100000 as string), null) as ZIP_RAW",
+            f"""if({k} % 23 <> 0, transform(slice(array(0, 1, 2, 3, 4, 5), 1, cast({k} % 6 as int)), i -> {event}), null) as EVENTS""",
         )
 
     # ------------------------------------------------------------ logs, gate, sync
 
     @cached_property
     def query_log(self) -> DataFrame:
-        kind = F.col("event_type")
-        return self.table("events").select(
-            F.concat(kind, F.lit("_"), (F.col("user_id") % 5).cast("string"), F.lit(".sql")).alias("query_name"),
-            F.col("ts").alias("last_run"),
-            F.element_at(F.array(*[F.lit(v) for v in ("now", "daily", "weekly", "quarterly", "hourly")]), (F.col("user_id") % 5 + 1).cast("int"))
-            .alias("frequency"),
-            F.when((kind == "error") | (F.col("event_id") % 7 == 0), F.lit("failed")).otherwise(F.lit("success")).alias("status"),
-            F.col("value").alias("execution_time_seconds"),
-            F.when(kind == "error", F.lit("boom")).alias("error_message"),
-            F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
+        return self.table("events").selectExpr(
+            "concat(event_type, '_', user_id % 5, '.sql') as query_name",
+            "ts as last_run",
+            f"{pick(['now', 'daily', 'weekly', 'quarterly', 'hourly'], 'user_id')} as frequency",
+            "if(event_type = 'error' or event_id % 7 = 0, 'failed', 'success') as status",
+            "value as execution_time_seconds",
+            "if(event_type = 'error', 'boom', null) as error_message",
+            "concat('u', user_id) as user_id",
         )
 
     @cached_property
     def datasets(self) -> DataFrame:
-        k = F.col("p_partkey")
-        new_size = F.col("p_size").cast("bigint") * 1000 + k % 500
-        return self.table("part").select(
-            F.concat(F.lit("DS_"), k.cast("string"), F.lit(".parquet")).alias("name"),
-            new_size.alias("new_size"),
-            F.when(k % 7 == 0, F.lit(None).cast("bigint"))
-            .when(k % 7 == 1, F.lit(0).cast("bigint"))
-            .otherwise(new_size + (k % 5 - 2) * 300)
-            .alias("core_size"),
-            k.alias("k"),
+        sized = self.table("part").selectExpr("p_partkey as k", "p_size * 1000L + p_partkey % 500 as new_size")
+        return sized.selectExpr(
+            "concat('DS_', k, '.parquet') as name",
+            "new_size",
+            "case when k % 7 = 0 then null when k % 7 = 1 then 0L else new_size + (k % 5 - 2) * 300 end as core_size",
+            "k",
         )
 
     @cached_property
     def changes(self) -> DataFrame:
-        stamp = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
-        return self.table("events").select(
-            F.col("user_id").alias("id"),
-            F.concat(F.col("event_type"), F.lit("-"), F.col("event_id").cast("string")).alias("name"),
-            stamp.alias("last_modified_ts"),
-            F.col("event_id"),
+        return self.table("events").selectExpr(
+            "user_id as id",
+            "concat(event_type, '-', event_id) as name",
+            "timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as last_modified_ts",
+            "event_id",
         )
 
     # ------------------------------------------------------------ site
 
     @cached_property
     def site_users(self) -> DataFrame:
-        k = F.col("c_custkey")
-        return self.table("customer").select(
-            k.cast("string").alias("id"),
-            F.when(k % 2 == 0, F.upper("c_name")).otherwise(F.col("c_name")).alias("name"),
-            F.concat(F.lit("Full "), k.cast("string")).alias("fullname"),
-            F.when(k % 3 != 0, F.concat(F.lit("u"), k.cast("string"), F.lit("@site"))).alias("email"),
-            F.when(k % 10 == 0, F.lit("Unlicensed")).when(k % 10 != 1, F.lit("Viewer")).alias("site_role"),
-            F.lit("SAML").alias("auth_setting"),
+        return self.table("customer").selectExpr(
+            "cast(c_custkey as string) as id",
+            "if(c_custkey % 2 = 0, upper(c_name), c_name) as name",
+            "concat('Full ', c_custkey) as fullname",
+            "if(c_custkey % 3 <> 0, concat('u', c_custkey, '@site'), null) as email",
+            "case when c_custkey % 10 = 0 then 'Unlicensed' when c_custkey % 10 <> 1 then 'Viewer' end as site_role",
+            "'SAML' as auth_setting",
         )
 
     @cached_property
     def site_groups(self) -> DataFrame:
-        return self.table("nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))
+        return self.table("nation").selectExpr("cast(n_nationkey as string) as id", "n_name as name")
 
     @cached_property
     def members(self) -> DataFrame:
-        k, n = F.col("c_custkey"), F.col("c_nationkey")
-        joined = F.when(k % 8 == 0, F.array().cast("array<bigint>")).otherwise(
-            F.array(n.cast("bigint"), (n + 1 + k % 3) % 25)
-        )
-        return self.table("customer").select(
-            F.explode(joined).cast("string").alias("group_id"), k.cast("string").alias("user_id")
-        )
+        return self.table("customer").selectExpr(
+            """explode(if(c_custkey % 8 = 0, array(), array(c_nationkey, (c_nationkey + 1 + c_custkey % 3) % 25))) as g""",
+            "cast(c_custkey as string) as user_id",
+        ).selectExpr("cast(g as string) as group_id", "user_id")
 
     @cached_property
     def projects(self) -> DataFrame:
-        return self.table("nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))
+        return self.table("nation").selectExpr("cast(n_nationkey as string) as id", "n_name as name")
 
     @cached_property
     def workbooks(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        return self.table("supplier").select(
-            k.cast("string").alias("id"),
-            F.col("s_name").alias("name"),
-            (k % 20).cast("string").alias("project_id"),
-            F.concat(F.lit("o"), F.col("s_nationkey").cast("string")).alias("owner_id"),
+        return self.table("supplier").selectExpr(
+            "cast(s_suppkey as string) as id",
+            "s_name as name",
+            "cast(s_suppkey % 20 as string) as project_id",
+            "concat('o', s_nationkey) as owner_id",
         )
 
     @cached_property
     def datasources(self) -> DataFrame:
-        k = F.col("p_partkey")
-        return self.table("part").select(
-            k.cast("string").alias("id"), F.col("p_name").alias("name"), (k % 23).cast("string").alias("project_id")
+        return self.table("part").selectExpr(
+            "cast(p_partkey as string) as id", "p_name as name", "cast(p_partkey % 23 as string) as project_id"
         )
 
     @cached_property
-    def views(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        counted = F.slice(F.sequence(F.lit(1), F.lit(4)), F.lit(1), (k % 4).cast("int"))
-        return self.table("supplier").select(k.cast("string").alias("workbook_id"), F.explode(counted).alias("n")).select(
-            "workbook_id", F.concat(F.lit("View "), F.col("n").cast("string")).alias("name")
-        )
+    def site_views(self) -> DataFrame:
+        return self.table("supplier").selectExpr(
+            "cast(s_suppkey as string) as workbook_id",
+            "explode(slice(array(1, 2, 3, 4), 1, cast(s_suppkey % 4 as int))) as n",
+        ).selectExpr("workbook_id", "concat('View ', n) as name")
 
     @cached_property
     def connections(self) -> DataFrame:
-        return self.table("lineitem").select(
-            F.col("l_suppkey").cast("string").alias("workbook_id"),
-            F.when(F.col("l_linenumber") != 7, F.col("l_partkey").cast("string")).alias("datasource_id"),
-            F.lit("sqlserver").alias("connection_type"),
+        return self.table("lineitem").selectExpr(
+            "cast(l_suppkey as string) as workbook_id",
+            "if(l_linenumber <> 7, cast(l_partkey as string), null) as datasource_id",
+            "'sqlserver' as connection_type",
         )
