@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from catchment.operators import gate as gates
 from catchment.operators import runlog
 from catchment.schemas import PERFORMANCE_LOG, QUERY_LOG
-from catchment.sources.readers import extract, load_sql_folder
+from catchment.sources.readers import extract, load_sql_folder, path_exists
 from catchment.sources.sinks import save
 
 REGISTRY = "query_name string, sql string"
@@ -27,15 +26,12 @@ def registry_of(spark: SparkSession, sql_dir: str, overrides: DataFrame | None =
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUERY_LOG).parquet(path) if Path(path).exists() else spark.createDataFrame([], QUERY_LOG)
+    return spark.read.schema(QUERY_LOG).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], QUERY_LOG)
 
 
 def read_performance(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema(PERFORMANCE_LOG).parquet(path)
-        if Path(path).exists()
-        else spark.createDataFrame([], PERFORMANCE_LOG)
-    )
+    there = path_exists(spark, path)
+    return spark.read.schema(PERFORMANCE_LOG).parquet(path) if there else spark.createDataFrame([], PERFORMANCE_LOG)
 
 
 def log_run(spark: SparkSession, rows: list[dict], log_path: str, performance_path: str) -> None:
@@ -73,12 +69,17 @@ def run_named(spark: SparkSession, registry: DataFrame, names: list[str], out: s
 
 
 def dataset_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes of every Parquet dataset of a folder, from file listings only."""
-    sizes = []
-    for path in sorted(Path(folder).glob("*.parquet")):
-        files = path.rglob("*.parquet") if path.is_dir() else [path]
-        sizes.append((path.name, sum(f.stat().st_size for f in files if f.is_file())))
-    return spark.createDataFrame(sizes, "name string, size bigint")
+    """Bytes of every Parquet file or dataset of a folder; only file listings are read."""
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], "name string, size bigint")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(folder)
+        .select(F.regexp_extract("path", r"/([^/]+\.parquet)(/|$)", 1).alias("name"), "length")
+    )
+    return files.groupBy("name").agg(F.sum("length").alias("size"))
 
 
 def promote(decisions: DataFrame, new: str, core: str, review: str, dry_run: bool = True) -> DataFrame:

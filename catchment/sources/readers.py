@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,7 +84,7 @@ def _feature_schema(properties: T.StructType) -> T.StructType:
     )
 
 
-def _rings(kind, coordinates):
+def _rings(kind: Column, coordinates: Column) -> Column:
     """Coordinates text of a Polygon or MultiPolygon as rings of points."""
     pairs = "array<array<array<double>>>"
     single = F.from_json(coordinates, pairs)
@@ -121,7 +122,7 @@ def read_polygon_layer(spark: SparkSession, pattern: str, properties: T.StructTy
 
     GeoJSON needs the properties to read; anything else is read as Parquet with a ``rings`` column.
     """
-    if not _exists(spark, pattern):
+    if not path_exists(spark, pattern):
         raise FileNotFoundError(f"no polygon file matches {pattern}")
     if pattern.endswith((".json", ".geojson")):
         layer = read_geojson(spark, pattern, properties)
@@ -158,12 +159,15 @@ def drop_envelope_columns(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- folders and SQL
 
 
-def _exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether any path matches, on whatever file system the pattern names."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches, on whatever file system the pattern names; only a listing is done."""
+    try:
+        spark.read.format("binaryFile").load(pattern)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def parquet_folder(folder: str) -> dict[str, str]:

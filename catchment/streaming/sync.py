@@ -16,27 +16,23 @@ from pyspark.sql.streaming import StreamingQuery
 from catchment.operators.upsert import changed_since, newest_per_key, upsert
 from catchment.schemas import SYNC_STATE
 from catchment.session import shared_dir
+from catchment.sources.readers import path_exists
 
 POINTER = "version bigint"
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """What to keep in sync: a name, the key, the change column, and hash buckets of the target's files."""
+    """What to keep in sync: a name, the key, and the column that grows with every change."""
 
     name: str
     primary_key: str
     last_modified_column: str
 
 
-def _has(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def current_version(spark: SparkSession, path: str) -> int | None:
     """The newest complete version; the pointer rows are a handful of numbers."""
-    if not _has(spark, f"{path}/current"):
+    if not path_exists(spark, f"{path}/current"):
         return None
     return spark.read.schema(POINTER).json(f"{path}/current").agg(F.max("version")).first()[0]
 
@@ -78,7 +74,7 @@ def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = No
 
 def last_sync(spark: SparkSession, state_path: str, table: str) -> int:
     """Greatest change seen so far, 0 before the first sync."""
-    if not _has(spark, state_path):
+    if not path_exists(spark, state_path):
         return 0
     state = spark.read.schema(SYNC_STATE).parquet(state_path).filter(F.col("table_name") == table)
     return state.agg(F.max("last_sync_ts")).first()[0] or 0
