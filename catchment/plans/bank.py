@@ -52,18 +52,20 @@ def date_fields() -> dict[str, object]:
 
 def event_fields() -> dict[str, object]:
     """Fields of the event history; needs the columns ``_names`` and ``_changes`` of with_event_lists."""
-    events, effective, end = F.col("EVENTS"), F.col("ORG_EFF_NUM_DTE"), F.col("ORG_END_NUM_DTE")
-    latest = bank.process_date(events, effective, end)
     return {
         **{f"PRIORNAME{n}": bank.nth(F.col("_names"), n) for n in range(1, bank.PRIOR_NAMES + 1)},
         **{f"CHANGEC{n}": bank.nth(F.col("_changes"), n)["ACT_EVT_NUM"] for n in range(1, bank.CHANGE_COLUMNS + 1)},
         "NEWCERT": bank.successor_id(F.col("_changes")),
-        "PROCDATE": latest,
-        "DATEUPDT": latest,
-        "INSDROPDATE": bank.insurance_drop_date(events, F.col("INSAGNT1")),
+        "INSDROPDATE": bank.insurance_drop_date(F.col("EVENTS"), F.col("INSAGNT1")),
+        **event_dates(),
     }
 
 
+def event_dates() -> dict[str, object]:
+    latest = bank.process_date(F.col("EVENTS"), F.col("ORG_EFF_NUM_DTE"), F.col("ORG_END_NUM_DTE"))
+    return {"PROCDATE": latest, "DATEUPDT": latest}
+
+
 def with_event_lists(institutions: DataFrame) -> DataFrame:
     """The two derived lists as columns of their own, so each is worked out once per row."""
     events, effective, end = F.col("EVENTS"), F.col("ORG_EFF_NUM_DTE"), F.col("ORG_END_NUM_DTE")

@@ -202,13 +202,9 @@ def _(v):
     return access.sample(places.one_tract_per_branch(membership(v)))
 
 
-@check("srt04_by_latitude", "SELECT customer_id, latitude, CAST(row_number() OVER (ORDER BY latitude, customer_id) AS INTEGER) AS place FROM customers WHERE latitude IS NOT NULL ORDER BY latitude LIMIT 500")
+@check("srt04_by_latitude", "SELECT customer_id, latitude FROM customers WHERE latitude IS NOT NULL ORDER BY latitude")
 def _(v):
-    located = v.customers.filter(F.col("latitude").isNotNull()).select("customer_id", "latitude")
-    first = access.page(located, "latitude", limit=500, key="customer_id")
-    return first.groupBy().agg(F.array_sort(F.collect_list(F.struct("latitude", "customer_id"))).alias("rows")).select(
-        F.posexplode("rows").alias("place", "r")
-    ).select("r.customer_id", "r.latitude", (F.col("place") + 1).alias("place"))
+    return access.order(v.customers.filter(F.col("latitude").isNotNull()).select("customer_id", "latitude"), "latitude", key="customer_id")
 
 
 @check(
@@ -269,9 +265,12 @@ def _(v):
     return clean_branches(v).select("branch_id", F.expr("round(haversine_m(lat, lon, 30.0D, -97.0D), 3)").alias("meters"))
 
 
-@check("fun02_point_on_surface")
+@check("fun02_point_on_surface", "SELECT geoid, 1 AS inside FROM tract_boxes")
 def _(v):
-    return places.tract_points(v.tracts)
+    """Every tract that has a ring gets a point, and the point lies strictly inside."""
+    points = places.tract_points(v.tracts).select("geoid", "lat", "lon")
+    inside = polygon.within(F.col("lon"), F.col("lat"), F.col("rings")).cast("int")
+    return points.join(v.tracts.select("geoid", "rings"), "geoid").select("geoid", inside.alias("inside"))
 
 
 @check(
