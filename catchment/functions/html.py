@@ -181,7 +181,7 @@ def table_rows(pages: DataFrame, table_class: str, column: str = "html") -> Data
 
     def work(html: str) -> dict:
         table = _fed(_Table(table_class), html)
-        return {"rows": [list(zip(table.head, row)) for row in table.rows if len(row) == len(table.head)]}
+        return {"rows": [dict(zip(table.head, row)) for row in table.rows if len(row) == len(table.head)]}
 
     parsed = _parsed(pages, column, {"rows": "array<map<string,string>>"}, work)
     return parsed.select(*[c for c in parsed.columns if c != "rows"], F.explode("rows").alias("row"))

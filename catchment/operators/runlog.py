@@ -36,7 +36,7 @@ def due_queries(registry: DataFrame, log: DataFrame, now: dt.datetime) -> DataFr
     """The registry with ``due``: forced, never run, no time, last run failed, or rested long enough."""
     last = latest_runs(log).select("query_name", "last_run", F.lower("status").alias("_status"), F.lit(True).alias("_ran"))
     moment = F.lit(now).cast("timestamp_ntz")
-    rested = F.timestamp_diff("MICROSECOND", F.col("last_run"), moment) >= rest_seconds(F.col("frequency")) * 1000000
+    rested = F.timestamp_diff("MICROSECOND", F.col("last_run"), moment) >= rest_seconds(F.col("frequency")).cast("bigint") * 1000000
     due = (
         F.when(F.col("force_run"), True)
         .when(F.col("_ran").isNull() | F.col("last_run").isNull(), True)

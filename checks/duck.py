@@ -175,7 +175,7 @@ CTES: dict[str, str] = {
                p_partkey AS k
         FROM (SELECT p_partkey, CAST(p_size AS BIGINT) * 1000 + p_partkey % 500 AS new_size FROM part)""",
     "changes": """
-        SELECT user_id AS id, event_type || '-' || event_id AS name, epoch_ms(ts) AS last_modified_ts, event_id FROM events""",
+        SELECT user_id AS id, event_type || '-' || event_id AS name, epoch_us(ts) // 1000 AS last_modified_ts, event_id FROM events""",
     "site_users": """
         SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 2 = 0 THEN upper(c_name) ELSE c_name END AS name,
                'Full ' || c_custkey AS fullname, CASE WHEN c_custkey % 3 <> 0 THEN 'u' || c_custkey || '@site' END AS email,

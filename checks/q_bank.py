@@ -102,14 +102,15 @@ def _(v):
 
 @check(
     "src08_landed_pages",
-    """WITH p AS (SELECT o_orderkey, o_orderkey // 1000 AS page FROM orders WHERE NOT (o_orderkey // 1000 = 11 AND o_orderkey % 5 = 0)),
+    """WITH p AS (SELECT o_orderkey, o_orderkey // 1000 + CASE WHEN o_orderkey // 1000 = 11 AND o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS page FROM orders),
             c AS (SELECT page, count(*) AS n FROM p GROUP BY page)
        SELECT o_orderkey, page FROM p WHERE page <= coalesce((SELECT min(page) FROM c WHERE n < 1000), 1000000000)""",
 )
 def _(v):
-    landed = v.table("orders").selectExpr("o_orderkey", "o_orderkey div 1000 as page")
-    short = landed.filter("not (page = 11 and o_orderkey % 5 = 0)")
-    return access.landed_pages(short, "page", 1000)
+    landed = v.table("orders").selectExpr(
+        "o_orderkey", "o_orderkey div 1000 + if(o_orderkey div 1000 = 11 and o_orderkey % 5 = 0, 1, 0) as page"
+    )
+    return access.landed_pages(landed, "page", 1000)
 
 
 @check("pip05_deposits_history", """
@@ -267,7 +268,7 @@ def _(v):
 @check(
     "pip07_institution_fields",
     f"""SELECT i."CERT", i."NAME", {", ".join(f'{e} AS "{n}"' for n, e in FIELD_SQL.items())}, {ZIP_SQL} AS "ZIP",
-           strftime(today(), '%m/%d/%Y') AS "RUNDATE", p."PROCDATE", p."PROCDATE" AS "DATEUPDT", s."NEWCERT", d."INSDROPDATE",
+           p."PROCDATE", p."PROCDATE" AS "DATEUPDT", s."NEWCERT", d."INSDROPDATE",
            {", ".join(f'n.n{k} AS "PRIORNAME{k}"' for k in range(1, bank.PRIOR_NAMES + 1))},
            {", ".join(f'c.c{k} AS "CHANGEC{k}"' for k in range(1, bank.CHANGE_COLUMNS + 1))}
         FROM institutions i JOIN ({PROCDATE_SQL}) p ON p."CERT" = i."CERT" JOIN ({NEWCERT_SQL}) s ON s."CERT" = i."CERT" JOIN ({DROP_SQL}) d ON d."CERT" = i."CERT"
@@ -275,6 +276,6 @@ def _(v):
         LEFT JOIN (SELECT "CERT", {", ".join(f"max(code) FILTER (place = {k}) AS c{k}" for k in range(1, bank.CHANGE_COLUMNS + 1))} FROM ({CHANGES_SQL}) GROUP BY "CERT") c ON c."CERT" = i."CERT" """,
 )
 def _(v):
-    return plans.institution_fields(v.institutions)
+    return plans.institution_fields(v.institutions).drop("RUNDATE")
 
 
