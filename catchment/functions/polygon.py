@@ -43,7 +43,7 @@ def bounds(rings: Column) -> dict[str, Column]:
     inline a struct's fields into every later use.
     """
     points = F.flatten(rings)
-    lons, lats = F.transform(points, lambda p: p["lon"]), F.transform(points, lambda p: p["lat"])
+    lons, lats = points["lon"], points["lat"]
     return {
         "_west": F.array_min(lons),
         "_east": F.array_max(lons),
@@ -173,7 +173,7 @@ def point_on_surface(rings: Column) -> Column:
             / 2,
         )
 
-    levels = F.transform(F.flatten(rings), lambda p: p["lat"])
+    levels = F.flatten(rings)["lat"]
     return _let(_let(levels, halfway), at_level)
 
 

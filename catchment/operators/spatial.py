@@ -138,7 +138,7 @@ def _side(level: Column, cell_deg: float) -> Column:
 
 def _boxed(areas: DataFrame, cell_deg: float) -> DataFrame:
     """Polygons with box and grid level; those without a ring fall away."""
-    boxed = areas.withColumns(polygon.bounds(F.col("rings"))).filter(F.col("_west").isNotNull())
+    boxed = areas.filter(F.exists("rings", lambda r: F.size(r) > 0)).withColumns(polygon.bounds(F.col("rings")))
     span_x, span_y = F.col("_east") - F.col("_west"), F.col("_north") - F.col("_south")
     level = F.lit(0)
     for step in range(1, 4):
@@ -191,7 +191,8 @@ def points_in_areas(
     kept = [c for c in areas.columns if c != "rings"]
     boxed = _boxed(areas, cell_deg)
     levels = _levels_in_use(boxed) if levels is None else levels
-    sides = _listed(boxed, cell_deg).withColumn("_sides", polygon.edges(F.col("rings"))).drop("rings")
+    # Sides once per polygon, before it is listed in several cells.
+    sides = _listed(boxed.withColumn("_sides", polygon.edges(F.col("rings"))).drop("rings"), cell_deg)
     x, y = F.col(lon), F.col(lat)
     level = F.lit((levels or [0])[0]) if len(levels) < 2 else F.explode(F.array(*[F.lit(v) for v in levels]))
     celled = points.withColumn("_level", level)

@@ -168,14 +168,14 @@ def branch_population(
     """All outputs of the trade-area run.
 
     ``tracts`` has geoid, state_fips, county_fips, ce_tract, area_land, area_water and rings. Points are
-    derived from the rings unless given. With ``keep`` the pairs, which four outputs read, are written once.
+    derived from the rings unless given. With ``keep`` what several outputs read is written once.
     """
-    points = tract_points(tracts) if points is None else points
-    pairs = pairs_with_population(branches, points, census)
-    pairs = reuse(pairs) if keep else pairs
-    long = attached_population(pairs)
+    hold = reuse if keep else lambda df: df
+    points = hold(tract_points(tracts)) if points is None else points
+    pairs = hold(pairs_with_population(branches, points, census))
+    long = hold(attached_population(pairs))
     wide = population_wide(long)
-    membership = branch_tracts(branches, tracts)
+    membership = hold(branch_tracts(branches, tracts))
     return {
         "branch_tract_counts": tract_counts(pairs),
         "branch_pop_tract": long,
