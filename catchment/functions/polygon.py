@@ -199,6 +199,33 @@ def flat_edges(rings: Column) -> Column:
     return F.flatten(F.transform(edges(rings), lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"])))
 
 
+# Cells of the largest work array, so memory stays flat however many vertices two polygons have.
+_BLOCK = 1_000_000
+
+
+def _blocks(rows: int, width: int) -> list[np.ndarray]:
+    return np.array_split(np.arange(rows), max(1, -(-rows * width // _BLOCK)))
+
+
+def _meeting_levels(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Heights at which a side of one crosses a side of the other."""
+    found = []
+    for block in _blocks(len(a), len(b)):
+        p, q = a[block, None, :], b[None, :, :]
+        pdx, pdy = p[..., 2] - p[..., 0], p[..., 3] - p[..., 1]
+        qdx, qdy = q[..., 2] - q[..., 0], q[..., 3] - q[..., 1]
+        gap_x, gap_y = q[..., 0] - p[..., 0], q[..., 1] - p[..., 1]
+        cross = pdx * qdy - pdy * qdx
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (gap_x * qdy - gap_y * qdx) / cross
+            u = (gap_x * pdy - gap_y * pdx) / cross
+        meets = (cross != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        i, _ = np.nonzero(meets)
+        sides = a[block][i]
+        found.append(sides[:, 1] + t[meets] * (sides[:, 3] - sides[:, 1]))
+    return np.concatenate(found)
+
+
 def _overlap(a: np.ndarray, b: np.ndarray) -> float:
     """Area shared by two edge lists. Between neighbouring cut levels no two sides cross, so the
     shared width is linear there and its value halfway times the height is exact."""
@@ -206,28 +233,25 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> float:
     high = min(a[:, [1, 3]].max(), b[:, [1, 3]].max())
     if low >= high:
         return 0.0
-    p, q = a[:, None, :], b[None, :, :]
-    pdx, pdy = p[..., 2] - p[..., 0], p[..., 3] - p[..., 1]
-    qdx, qdy = q[..., 2] - q[..., 0], q[..., 3] - q[..., 1]
-    gap_x, gap_y = q[..., 0] - p[..., 0], q[..., 1] - p[..., 1]
-    cross = pdx * qdy - pdy * qdx
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = (gap_x * qdy - gap_y * qdx) / cross
-        u = (gap_x * pdy - gap_y * pdx) / cross
-    meets = (cross != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-    meeting_levels = np.broadcast_to(p[..., 1], meets.shape)[meets] + t[meets] * np.broadcast_to(pdy, meets.shape)[meets]
-    cuts = np.unique(np.concatenate([a[:, 1], a[:, 3], b[:, 1], b[:, 3], meeting_levels, [low, high]]))
+    # Level sides are never crossed halfway, and sides outside the shared heights play no part.
+    a, b = (e[(e[:, 1] != e[:, 3]) & (e[:, [1, 3]].max(axis=1) > low) & (e[:, [1, 3]].min(axis=1) < high)] for e in (a, b))
+    sides = np.concatenate([a, b])
+    cuts = np.unique(np.concatenate([sides[:, 1], sides[:, 3], _meeting_levels(a, b), [low, high]]))
     cuts = cuts[(cuts >= low) & (cuts <= high)]
+    levels, heights = (cuts[:-1] + cuts[1:]) / 2, np.diff(cuts)
+    of_a = np.arange(len(sides)) < len(a)
+    slope = (sides[:, 2] - sides[:, 0]) / (sides[:, 3] - sides[:, 1])
     total = 0.0
-    for bottom, top in zip(cuts[:-1], cuts[1:]):
-        level = (bottom + top) / 2
-        spans = []
-        for side in (a, b):
-            hit = side[(side[:, 1] > level) != (side[:, 3] > level)]
-            spans.append(np.sort(hit[:, 0] + (level - hit[:, 1]) * (hit[:, 2] - hit[:, 0]) / (hit[:, 3] - hit[:, 1])))
-        (left_a, right_a), (left_b, right_b) = ((s[0::2], s[1::2]) for s in spans)
-        shared = np.minimum.outer(right_a, right_b) - np.maximum.outer(left_a, left_b)
-        total += float(np.clip(shared, 0, None).sum()) * (top - bottom)
+    for block in _blocks(len(levels), len(sides)):
+        level = levels[block, None]
+        hit = (sides[:, 1] > level) != (sides[:, 3] > level)
+        xs = np.where(hit, sides[:, 0] + (level - sides[:, 1]) * slope, np.inf)
+        order = np.argsort(xs, axis=1)
+        xs, from_a, hit = np.take_along_axis(xs, order, 1), of_a[order], np.take_along_axis(hit, order, 1)
+        in_both = (np.cumsum(from_a & hit, axis=1) % 2 == 1) & (np.cumsum(~from_a & hit, axis=1) % 2 == 1)
+        with np.errstate(invalid="ignore"):
+            widths = np.where(in_both[:, :-1], np.diff(xs, axis=1), 0.0).sum(axis=1)
+        total += float(widths @ heights[block])
     return total
 
 

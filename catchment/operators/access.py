@@ -42,6 +42,10 @@ def not_in_class(df: DataFrame, column: str, *values: str) -> DataFrame:
 # ---------------------------------------------------------------- slices
 
 
+def _midnight(day: dt.date) -> Column:
+    return F.lit(day).cast("timestamp_ntz")
+
+
 def read_years(df: DataFrame, column: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """Years ``first`` to ``last``, by default the ten up to now. Prunes partitions when split by year."""
     last = dt.date.today().year if last is None else last
@@ -50,14 +54,17 @@ def read_years(df: DataFrame, column: str, first: int | None = None, last: int |
 
 
 def slice_by_year(df: DataFrame, date: str, years: list[int], flag: str | None = None, value: object = None) -> DataFrame:
-    """Rows of the wanted years with their ``year``; half-open ranges on the date itself reach the scan."""
+    """Rows of the wanted years with their ``year``.
+
+    Neighbouring years become one half-open range on the date itself, so the filter reaches the scan.
+    """
+    ends = sorted(set(years))
+    starts = [y for y in ends if y - 1 not in ends]
+    stops = [y + 1 for y in ends if y + 1 not in ends]
     wanted = reduce(
         Column.__or__,
-        [
-            (F.col(date) >= F.lit(dt.datetime(y, 1, 1)).cast("timestamp_ntz"))
-            & (F.col(date) < F.lit(dt.datetime(y + 1, 1, 1)).cast("timestamp_ntz"))
-            for y in years
-        ],
+        [(F.col(date) >= _midnight(dt.date(a, 1, 1))) & (F.col(date) < _midnight(dt.date(b, 1, 1))) for a, b in zip(starts, stops)],
+        F.lit(False),
     )
     rows = df.filter(wanted)
     if flag is not None:
@@ -78,10 +85,8 @@ def write_year_slices(df: DataFrame, path: str, date: str, key: str) -> None:
 
 def slice_by_day(df: DataFrame, stamp: str, days: int, today: dt.date) -> DataFrame:
     """The last ``days`` days and today, each closed at the start of the next day."""
-    start = dt.datetime.combine(today - dt.timedelta(days=days), dt.time())
-    stop = dt.datetime.combine(today + dt.timedelta(days=1), dt.time())
-    bounds = [F.lit(v).cast("timestamp_ntz") for v in (start, stop)]
-    return df.filter((F.col(stamp) >= bounds[0]) & (F.col(stamp) < bounds[1]))
+    first, last = today - dt.timedelta(days=days), today + dt.timedelta(days=1)
+    return df.filter((F.col(stamp) >= _midnight(first)) & (F.col(stamp) < _midnight(last)))
 
 
 def landed_pages(rows: DataFrame, page: str, page_size: int) -> DataFrame:

@@ -23,7 +23,8 @@ def spread_hot_keys(
     if buckets is None:
         buckets = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = many.agg(F.count(F.lit(1))).scalar()
+    # From the counts again: the plan is the same as above, so its exchange is reused.
+    total = counts.agg(F.sum("_rows")).scalar()
     hot = counts.filter(F.col("_rows") * buckets > total).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys],
         F.ceil(F.col("_rows") * buckets / total).cast("int").alias("_salts"),

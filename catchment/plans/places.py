@@ -232,25 +232,26 @@ def ordered_vertices(isochrones: DataFrame, time_value: int | None = None) -> Da
     """Vertices of each branch's outer rings, numbered from one in ring order.
 
     A branch with several outlines keeps counting: each starts after the vertices of those before it,
-    by drive time. Only outline sizes are ordered, so vertices are not moved.
+    by drive time. Starts come from vertex counts per drive time, so no branch's outlines are gathered.
     """
+    keys = ["bc_code", "time_frame_minutes"]
     outer = isochrones.select(
-        "bc_code",
-        "branch_latitude",
-        "branch_longitude",
-        "time_frame_minutes",
-        F.get("rings", F.lit(0)).alias("_ring"),
+        *keys, "branch_latitude", "branch_longitude", F.get("rings", F.lit(0)).alias("_ring")
     ).filter(F.col("_ring").isNotNull())
-    before = Window.partitionBy("bc_code").orderBy("time_frame_minutes").rowsBetween(Window.unboundedPreceding, -1)
-    started = outer.withColumn("_start", F.coalesce(F.sum(F.size("_ring")).over(before), F.lit(0)))
-    return started.select("*", F.posexplode("_ring").alias("_pos", "_p")).select(
+    shorter = Window.partitionBy("bc_code").orderBy("time_frame_minutes").rowsBetween(Window.unboundedPreceding, -1)
+    counts = outer.groupBy(*keys).agg(F.sum(F.size("_ring")).alias("_n"))
+    starts = counts.select(*keys, F.coalesce(F.sum("_n").over(shorter), F.lit(0)).alias("_start"))
+    # Outlines of the same branch and drive time, if there are several, follow each other by shape.
+    same = Window.partitionBy(*keys).orderBy("_ring").rowsBetween(Window.unboundedPreceding, -1)
+    placed = outer.withColumn("_within", F.coalesce(F.sum(F.size("_ring")).over(same), F.lit(0))).join(starts, keys)
+    return placed.select("*", F.posexplode("_ring").alias("_pos", "_p")).select(
         "bc_code",
         "branch_latitude",
         "branch_longitude",
         F.col("_p.lon").alias("lon_poly"),
         F.col("_p.lat").alias("lat_poly"),
         (F.col("time_frame_minutes") if time_value is None else F.lit(time_value)).alias("time_poly"),
-        (F.col("_start") + F.col("_pos") + 1).cast("int").alias("order"),
+        (F.col("_start") + F.col("_within") + F.col("_pos") + 1).cast("int").alias("order"),
     )
 
 

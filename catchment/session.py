@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,8 @@ SETTINGS = {
     # Split a skewed join even where the aggregation above it then needs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages and outlines vary in size: bound the batches handed to Python by bytes, not rows alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
 }
 
 
@@ -47,9 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def reuse(df: DataFrame) -> DataFrame:
-    """Write a frame once to shared storage so several outputs can read it.
+    """Write a frame once to the shared folder so that several outputs can read it.
 
-    A reliable checkpoint, so a lost executor costs a re-read and not the whole lineage.
+    A Parquet table and not a cached frame: a lost executor costs a re-read and not the lineage, each
+    output reads only its columns, and the true size is known when the next joins are planned.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/reuse-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

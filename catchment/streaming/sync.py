@@ -1,7 +1,9 @@
-"""Incremental sync into versioned Parquet tables.
+"""Incremental sync into versioned Parquet tables that are split into hash buckets of the key.
 
-A table is a folder with ``v<n>`` datasets and a small ``current`` pointer dataset. A merge reads the
-current version and writes the next, so a failed or repeated run never harms what readers see.
+A table is a folder: ``data/version=<n>/bucket=<b>`` datasets, ``manifest/v<n>`` naming the version that
+holds each bucket, and ``current`` with the newest complete version. A merge reads and rewrites only the
+buckets its keys fall in, under a new version, and moves ``current`` last: a failed or repeated run never
+harms what readers see, and a small change does not rewrite a large table.
 """
 
 from __future__ import annotations
@@ -15,58 +17,97 @@ from pyspark.sql.streaming import StreamingQuery
 
 from catchment.operators.upsert import changed_since, newest_per_key, upsert
 from catchment.schemas import SYNC_STATE
-from catchment.session import shared_dir
+from catchment.session import reuse, shared_dir
 from catchment.sources.readers import path_exists
 
-POINTER = "version bigint"
+POINTER = "version bigint, buckets int"
+MANIFEST = "bucket int, data_version bigint"
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """What to keep in sync: a name, the key, and the column that grows with every change."""
+    """What to keep in sync: a name, the key, the column that grows with every change, and the split.
+
+    Choose ``buckets`` so that one holds about a gigabyte; it is fixed when the table is made.
+    """
 
     name: str
     primary_key: str
     last_modified_column: str
+    buckets: int = 64
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """The newest complete version; the pointer rows are a handful of numbers."""
+def _pointer(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """Newest complete version and bucket count of a table; None when there is no table."""
     if not path_exists(spark, f"{path}/current"):
         return None
-    return spark.read.schema(POINTER).json(f"{path}/current").agg(F.max("version")).first()[0]
+    newest = spark.read.schema(POINTER).json(f"{path}/current").agg(F.max(F.struct("version", "buckets")).alias("p"))
+    found = newest.select("p.*").first()
+    return found["version"], found["buckets"]
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    version = current_version(spark, path)
-    return None if version is None else spark.read.parquet(f"{path}/v{version}")
+def current_version(spark: SparkSession, path: str) -> int | None:
+    found = _pointer(spark, path)
+    return None if found is None else found[0]
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
+    """Bucket to the version that holds it: one row per bucket, a number fixed with the table."""
+    rows = spark.read.schema(MANIFEST).json(f"{path}/manifest/v{version}").collect()
+    return {r["bucket"]: r["data_version"] for r in rows}
+
 
+def _point_to(spark: SparkSession, path: str, version: int, buckets: int, held: dict[int, int]) -> None:
+    spark.createDataFrame(list(held.items()), MANIFEST).coalesce(1).write.mode("overwrite").json(f"{path}/manifest/v{version}")
+    spark.createDataFrame([(version, buckets)], POINTER).write.mode("append").json(f"{path}/current")
 
-def write_next(df: DataFrame, path: str) -> int:
-    """Write the next version and then point to it."""
-    spark = df.sparkSession
+
+def _read(spark: SparkSession, path: str, held: dict[int, int]) -> DataFrame:
+    schema = spark.read.parquet(f"{path}/schema").schema
+    if not held:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/data/version={version}/bucket={bucket}" for bucket, version in sorted(held.items())]
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     version = current_version(spark, path)
-    version = 0 if version is None else version + 1
-    df.write.mode("overwrite").parquet(f"{path}/v{version}")
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("append").json(f"{path}/current")
-    return version
+    return None if version is None else _read(spark, path, _manifest(spark, path, version))
 
 
-def ensure_target(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def ensure_target(spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64) -> None:
     """An empty first version under the staged schema, if the table does not exist."""
     if current_version(spark, path) is None:
-        write_next(spark.createDataFrame([], schema), path)
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/schema")
+        _point_to(spark, path, 0, buckets, {})
+
 
+def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = None, buckets: int = 64, newer_only: bool = False) -> None:
+    """Upsert into a table, made on first use. Empty input changes nothing.
 
-def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = None) -> None:
-    """Upsert into a versioned table, made on first use. Empty input changes nothing."""
+    With ``newer_only`` a change that is older than the row already held does not replace it.
+    """
     if key not in staged.columns:
         raise ValueError(f"key column {key} is not in the incoming data")
-    if staged.isEmpty():
-        return
     spark = staged.sparkSession
-    ensure_target(spark, path, staged.schema)
-    write_next(upsert(read_current(spark, path), staged, key, modified), path)
+    latest = reuse(newest_per_key(staged, key, modified))
+    if latest.isEmpty():
+        return
+    ensure_target(spark, path, staged.schema, buckets)
+    version, buckets = _pointer(spark, path)
+    held = _manifest(spark, path, version)
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    touched = [r[0] for r in latest.select(bucket.alias("b")).distinct().collect()]
+    before = _read(spark, path, {b: v for b, v in held.items() if b in touched})
+    if newer_only:
+        same_keys = before.join(latest.select(key), key, "left_semi").select(*latest.columns)
+        latest = newest_per_key(latest.unionByName(same_keys), key, modified)
+    merged = upsert(before, latest, key, modified).withColumn("bucket", bucket)
+    # Rows of a bucket come together for writing, but a large bucket is still split over tasks.
+    merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+        f"{path}/data/version={version + 1}"
+    )
+    _point_to(spark, path, version + 1, buckets, {**held, **{b: version + 1 for b in touched}})
 
 
 # ---------------------------------------------------------------- sync state
@@ -99,7 +140,7 @@ def sync_one(source: DataFrame, spec: TableSpec, path: str, state_path: str) ->
     if found["n"]:
         # Only rows this run has counted: a source that grows meanwhile keeps the rest for the next run.
         seen = staged.filter(F.col(spec.last_modified_column) <= found["newest"])
-        merge_into(seen, f"{path}/{spec.name}", spec.primary_key, spec.last_modified_column)
+        merge_into(seen, f"{path}/{spec.name}", spec.primary_key, spec.last_modified_column, spec.buckets)
     save_sync(spark, state_path, spec.name, found["newest"] or last)
     return spec.name, found["n"]
 
@@ -117,16 +158,9 @@ def sync_stream(
     stream an older change never replaces a newer one already in the target.
     """
     target = f"{path}/{spec.name}"
-    key, modified = spec.primary_key, spec.last_modified_column
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        ensure_target(batch.sparkSession, target, batch.schema)
-        held = read_current(batch.sparkSession, target)
-        touched = held.join(batch.select(key).distinct(), key, "left_semi").select(*batch.columns)
-        staged = newest_per_key(batch.unionByName(touched), key, modified)
-        write_next(upsert(held, staged, key, modified), target)
+        merge_into(batch, target, spec.primary_key, spec.last_modified_column, spec.buckets, newer_only=True)
 
     return (
         spark.readStream.schema(schema)

@@ -32,6 +32,7 @@ def test_no_nested_loop_or_cartesian_and_no_stray_python(spark, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     plan = plan_of(queries()["src10_slice_by_year"](spark, SF_DIR))
     assert "GreaterThanOrEqual(o_orderdate" in plan and "EqualTo(o_orderstatus,F)" in plan
     assert "o_totalprice" not in plan
