@@ -110,10 +110,10 @@ def area(rings: Column) -> Column:
     return F.coalesce(F.abs(_let(F.get(F.flatten(rings), F.lit(0)), shifted)), F.lit(0.0))
 
 
-def make_valid(rings: Column) -> Column:
-    """Close rings, drop repeated vertices and rings of fewer than four points, then orient by nesting.
+def close_rings(rings: Column) -> Column:
+    """Close rings, and drop repeated vertices and rings of fewer than four points.
 
-    Outer rings run counter-clockwise and holes clockwise. Self-crossing rings are not repaired.
+    Enough for point tests and inner points, which follow the even-odd rule whichever way rings run.
     """
 
     def tidy(ring: Column) -> Column:
@@ -127,6 +127,16 @@ def make_valid(rings: Column) -> Column:
         closed = (first["lon"] == last["lon"]) & (first["lat"] == last["lat"])
         return F.when(closed, kept).otherwise(F.concat(kept, F.slice(ring, 1, 1)))
 
+    whole = F.filter(rings, lambda r: F.size(r) > 0)
+    return F.filter(F.transform(whole, tidy), lambda r: F.size(r) >= 4)
+
+
+def make_valid(rings: Column) -> Column:
+    """Closed rings, oriented by nesting: outer rings run counter-clockwise and holes clockwise.
+
+    Self-crossing rings are not repaired.
+    """
+
     def orient_all(clean: Column) -> Column:
         def orient(ring: Column, i: Column) -> Column:
             corner = F.get(ring, F.lit(0))
@@ -136,8 +146,7 @@ def make_valid(rings: Column) -> Column:
 
         return F.transform(clean, orient)
 
-    whole = F.filter(rings, lambda r: F.size(r) > 0)
-    return _let(F.filter(F.transform(whole, tidy), lambda r: F.size(r) >= 4), orient_all)
+    return _let(close_rings(rings), orient_all)
 
 
 def point_on_surface(rings: Column) -> Column:
@@ -255,9 +264,7 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> float:
     return total
 
 
-@F.pandas_udf(DoubleType())
-def intersection_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Shared area of two polygons given as flat_edges, for any simple rings with holes."""
+def _overlaps(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
         [
             _overlap(np.asarray(p, dtype=float).reshape(-1, 4), np.asarray(q, dtype=float).reshape(-1, 4))
@@ -267,3 +274,11 @@ def intersection_area(a: pd.Series, b: pd.Series) -> pd.Series:
         ],
         dtype="float64",
     )
+
+
+def intersection_area(a: Column | str, b: Column | str) -> Column:
+    """Shared area of two polygons given as flat_edges, for any simple rings with holes.
+
+    Marked non-deterministic only so that a filter on the result does not make Catalyst run it twice.
+    """
+    return F.pandas_udf(_overlaps, DoubleType()).asNondeterministic()(a, b)

@@ -24,13 +24,11 @@ CELL = ["_level", "_row", "_col"]
 BOX = ["_west", "_east", "_south", "_north"]
 
 
-def _cover(south: Column, north: Column, west: Column, east: Column) -> Column:
-    """All cells between two rows and two columns, as an array to explode."""
-    return F.flatten(
-        F.transform(
-            F.sequence(south, north),
-            lambda row: F.transform(F.sequence(west, east), lambda col: F.struct(row.alias("row"), col.alias("col"))),
-        )
+def _cover(south: str, north: str, west: str, east: str) -> Column:
+    """All cells between two rows and two columns, given as columns, as an array to explode."""
+    return F.expr(
+        f"""flatten(transform(sequence({south}, {north}), r ->
+                transform(sequence({west}, {east}), c -> named_struct('row', r, 'col', c))))"""
     )
 
 
@@ -62,21 +60,19 @@ def radius_pairs(
     polar = F.abs(F.col("b_lat")) + half_lat >= 90
     half_lon = F.when(polar | (widest >= 1), F.lit(180.0)).otherwise(F.degrees(F.asin(widest)) + 1e-9)
     west = _floor(F.col("b_lon") - half_lon + 180, cell_deg)
-    east = F.least(_floor(F.col("b_lon") + half_lon + 180, cell_deg), west + wrap - 1)
     circles = (
         branches.filter(geo.valid_coordinates(F.col("lat"), F.col("lon")))
         .select(F.col(branch_key), F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"))
-        .withColumn(
-            "_cell",
-            F.explode(
-                _cover(
-                    _floor(F.col("b_lat") - half_lat + 90, cell_deg),
-                    _floor(F.col("b_lat") + half_lat + 90, cell_deg),
-                    west,
-                    east,
-                )
-            ),
+        .withColumns(
+            {
+                "_south": _floor(F.col("b_lat") - half_lat + 90, cell_deg),
+                "_north": _floor(F.col("b_lat") + half_lat + 90, cell_deg),
+                "_west": west,
+                # Never round the globe twice, which would list a cell twice.
+                "_east": F.least(_floor(F.col("b_lon") + half_lon + 180, cell_deg), west + wrap - 1),
+            }
         )
+        .withColumn("_cell", F.explode(_cover("_south", "_north", "_west", "_east")))
         .select(
             branch_key, "b_lat", "b_lon", F.col("_cell.row").alias("_row"), F.pmod("_cell.col", F.lit(wrap)).alias("_col")
         )
@@ -150,20 +146,12 @@ def _boxed(areas: DataFrame, cell_deg: float) -> DataFrame:
 
 def _listed(boxed: DataFrame, cell_deg: float) -> DataFrame:
     side = _side(F.col("_level"), cell_deg)
+    ends = {f"_cell{edge}": _floor(F.col(edge), side) for edge in BOX}
     return (
-        boxed.withColumn(
-            "_cell",
-            F.explode(
-                _cover(
-                    _floor(F.col("_south"), side),
-                    _floor(F.col("_north"), side),
-                    _floor(F.col("_west"), side),
-                    _floor(F.col("_east"), side),
-                )
-            ),
-        )
+        boxed.withColumns(ends)
+        .withColumn("_cell", F.explode(_cover("_cell_south", "_cell_north", "_cell_west", "_cell_east")))
         .withColumns({"_row": F.col("_cell.row"), "_col": F.col("_cell.col")})
-        .drop("_cell")
+        .drop("_cell", *ends)
     )
 
 
@@ -256,6 +244,8 @@ def shape_overlaps(shapes: DataFrame, key: str, cell_deg: float = AREA_CELL_DEG)
         cell_deg,
     )
     left, right, keys = spread_hot_keys(listed, listed, CELL, ["_key"])
+    # Pairs cost far more than their bytes tell, so the number of tasks is not left to be coalesced.
+    left = left.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     left = left.select(*[F.col(c).alias(f"l{c}") for c in left.columns])
     right = right.select(*[F.col(c).alias(f"r{c}") for c in right.columns])
     corner_x = F.greatest(F.col("l_west"), F.col("r_west"))
@@ -274,7 +264,8 @@ def shape_overlaps(shapes: DataFrame, key: str, cell_deg: float = AREA_CELL_DEG)
     shared = F.when(F.col("l_key") == F.col("r_key"), F.col("l_area")).otherwise(F.col("_shared"))
     return (
         left.join(right, match)
-        .withColumn("_shared", polygon.intersection_area(F.col("l_sides"), F.col("r_sides")))
+        .withColumn("_other", F.when(F.col("l_key") != F.col("r_key"), F.col("r_sides")))
+        .withColumn("_shared", polygon.intersection_area("l_sides", "_other"))
         .select(
             F.col("l_key").alias(f"{key}_1"),
             F.col("r_key").alias(f"{key}_2"),

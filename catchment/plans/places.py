@@ -48,12 +48,11 @@ def census_table(raw: DataFrame) -> DataFrame:
 
 def tract_points(tracts: DataFrame) -> DataFrame:
     """Every tract with rings as one point inside it; empty ones fall away."""
-    inside = tracts.filter(F.size("rings") > 0).withColumn(
-        "_point", polygon.point_on_surface(polygon.make_valid(F.col("rings")))
-    )
-    return inside.filter(F.col("_point.lon").isNotNull()).select(
-        *[c for c in tracts.columns if c != "rings"], F.col("_point.lat").alias("lat"), F.col("_point.lon").alias("lon")
-    )
+    point = polygon.point_on_surface(polygon.close_rings(F.col("rings")))
+    # Unfolded from a list of one or none: a filter on the point would have it worked out twice.
+    found = F.filter(F.array(point), lambda p: p["lon"].isNotNull())
+    codes = [c for c in tracts.columns if c != "rings"]
+    return tracts.filter(F.size("rings") > 0).select(*codes, F.inline(found)).select(*codes, "lat", "lon")
 
 
 def census_by_tract(census: DataFrame) -> DataFrame:
@@ -122,7 +121,7 @@ def radius_detail(pairs: DataFrame, tracts: DataFrame, census: DataFrame) -> Dat
 def branch_tracts(branches: DataFrame, tracts: DataFrame) -> DataFrame:
     """Tract that strictly contains each branch."""
     clean = branches.filter(geo.valid_coordinates(F.col("lat"), F.col("lon")))
-    shapes = tracts.select("geoid", "ce_tract", polygon.make_valid(F.col("rings")).alias("rings"))
+    shapes = tracts.select("geoid", "ce_tract", polygon.close_rings(F.col("rings")).alias("rings"))
     return spatial.points_in_areas(clean, shapes, "branch_id").select("branch_id", "geoid", "ce_tract")
 
 
