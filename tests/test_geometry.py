@@ -219,3 +219,8 @@ def test_vertices_continue_over_outlines(spark, rows):
     iso = spark.createDataFrame([("x", 0.0, 0.0, m, [ring]) for m in (10, 5)], "bc_code string, branch_latitude double, branch_longitude double, time_frame_minutes int, rings " + RINGS.simpleString())
     got = places.ordered_vertices(iso).select("order", "time_poly")
     assert sorted(tuple(r) for r in got.collect()) == [(i, 5 if i <= 4 else 10) for i in range(1, 9)]
+
+
+def test_points_and_their_parts(spark):
+    df = spark.createDataFrame([("1.5", 2)], "a string, b int").select(geo.make_point(F.col("a"), F.col("b")).alias("p"))
+    assert tuple(df.select(geo.x(F.col("p")), geo.y(F.col("p"))).first()) == (1.5, 2.0)
