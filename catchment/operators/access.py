@@ -107,9 +107,18 @@ def completeness(rows: DataFrame, total: int) -> DataFrame:
 
 
 def order(df: DataFrame, sort_by: str, sort_order: str = "ASC", key: str | None = None) -> DataFrame:
-    """Sorted by one field with nulls last, ties by key."""
+    """Sorted by one field with nulls last, ties by key.
+
+    Without a key, ties follow a hash of the row, so that one value held by much of all rows still
+    spreads over the sorted partitions.
+    """
     first = F.col(sort_by).asc_nulls_last() if sort_order.upper() == "ASC" else F.col(sort_by).desc_nulls_last()
-    return df.orderBy(first, *([F.col(key).asc_nulls_last()] if key else []))
+    return df.orderBy(first, F.col(key).asc_nulls_last() if key else row_hash(df))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A repeatable number per row, over the columns that can be hashed."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()])
 
 
 def page(

@@ -49,11 +49,17 @@ def only_left(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def per_project(projects: DataFrame, items: DataFrame, item_column: str, project: str | None = None) -> DataFrame:
-    """Each project's items by name; a project without any keeps one row with null."""
+    """Each project's items by name; a project without any keeps one row with null.
+
+    An inner join and the projects it leaves over: an outer join could not split, nor broadcast past,
+    one project that holds much of all items.
+    """
     chosen = projects if project is None else projects.filter(F.col("name") == project)
-    named = items.select(F.col("project_id"), F.col("name").alias(item_column))
-    kept = chosen.select(F.col("id"), F.col("name").alias("project_name"))
-    return kept.join(named, kept["id"] == named["project_id"], "left").select("project_name", item_column)
+    named = items.select("project_id", F.col("name").alias(item_column))
+    kept = chosen.select(F.col("id").alias("project_id"), F.col("name").alias("project_name"))
+    filled = named.join(kept, "project_id").select("project_name", item_column)
+    empty = kept.join(named.select("project_id").distinct(), "project_id", "left_anti")
+    return filled.unionByName(empty.select("project_name", F.lit(None).cast("string").alias(item_column)))
 
 
 def joined_names(df: DataFrame, key: str, name: str, out: str, separator: str = ", ") -> DataFrame:

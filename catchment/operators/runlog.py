@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from catchment.operators.access import order
 from catchment.schemas import QUERY_LOG
 
 # Seconds a query rests by frequency, and for any other frequency.
@@ -101,7 +102,7 @@ def mark_success(queries: DataFrame, now: dt.datetime, user_id: str | None = Non
 
 
 def with_status(log: DataFrame, status: str) -> DataFrame:
-    return log.filter(F.col("status") == status).orderBy(F.col("last_run").desc_nulls_last())
+    return order(log.filter(F.col("status") == status), "last_run", "DESC")
 
 
 def remove_rows(log: DataFrame, query_name: str | None = None, last_run: dt.datetime | None = None) -> DataFrame:

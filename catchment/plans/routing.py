@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from catchment.functions.html import label_values, section_texts
 from catchment.functions.text import parse_date_us, routing_number, servicing_office
 from catchment.operators.lookup import routing_directory as directory
+from catchment.operators.upsert import newest_per_key
 from catchment.schemas import ACH, FAILURES, WIRE
 from catchment.session import reuse
+from catchment.sources.sinks import append_failures
+from catchment.streaming.sync import merge_into
 
 # Headings of the two page sections.
 SECTIONS = {"ach": "FedACH Routing", "wire": "Fedwire Routing"}
@@ -97,10 +100,22 @@ def failure_rows(outcomes: DataFrame, when_utc: dt.datetime) -> DataFrame:
     ).select(*FAILURES.names)
 
 
-def routing_pages(wanted: DataFrame, pages: DataFrame, now: dt.datetime, keep: bool = True) -> dict[str, DataFrame]:
-    """ACH and wire rows, their directory and the failures, for the wanted codes that have a page."""
+def routing_pages(
+    wanted: DataFrame, pages: DataFrame, now: dt.datetime, fetched_at: str | None = None, keep: bool = True
+) -> dict[str, DataFrame]:
+    """ACH and wire rows, their directory and the failures, for the wanted codes that have a page.
+
+    Of several pages landed for a code the latest counts, so codes are unique from there on.
+    """
     mine = pages.join(wanted.select("routing_number").distinct(), "routing_number", "left_semi")
-    outcomes = page_outcomes(parse_pages(mine))
+    outcomes = page_outcomes(parse_pages(newest_per_key(mine, "routing_number", fetched_at)))
     outcomes = reuse(outcomes) if keep else outcomes
     ach, wire = ach_rows(outcomes, now), wire_rows(outcomes, now)
     return {"ach": ach, "wire": wire, "directory": directory(ach, wire), "failures": failure_rows(outcomes, now)}
+
+
+def save_routing(run: dict[str, DataFrame], path: str) -> None:
+    """Upsert both tables by routing number and append the failures."""
+    merge_into(run["ach"], f"{path}/aba_fedach", "routing_number", "scraped_at")
+    merge_into(run["wire"], f"{path}/aba_fedwire", "routing_number", "scraped_at")
+    append_failures(run["failures"], f"{path}/aba_failures")

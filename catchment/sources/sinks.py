@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchment.functions.polygon import as_wkt
+from catchment.operators.access import row_hash
 from catchment.operators.merge import lenient_union, strict_union
 from catchment.schemas import FAILURES
 from catchment.sources.readers import extract, read_text_csv
@@ -48,10 +49,13 @@ def export_both(df: DataFrame, name: str, path: str, sort_by: list[str]) -> tupl
     """Parquet, and CSV sorted across its part files: reading them by name gives the whole order.
 
     The order is a range partitioning, so no task holds the whole table as a single file would need.
+    The CSV is made from the written Parquet, so the frame is worked out once.
     """
     parquet, csv = f"{path}/{name}.parquet", f"{path}/{name}.csv"
     df.write.mode("overwrite").parquet(parquet)
-    df.orderBy(*[F.asc_nulls_last(c) for c in sort_by]).write.mode("overwrite").option("header", True).csv(csv)
+    written = df.sparkSession.read.schema(df.schema).parquet(parquet)
+    ordered = written.orderBy(*[F.asc_nulls_last(c) for c in sort_by], row_hash(written))
+    ordered.write.mode("overwrite").option("header", True).csv(csv)
     return parquet, csv
 
 

@@ -297,7 +297,7 @@ PAGE = """<html><body><h1>Bank</h1>
 <h2>Fedwire Routing</h2><ul><li>Name: FIRST</li><li>Telegraphic Name: FB<li>Revision Date: 2023-03-04</ul><h2>Other</h2><p>Name: wrong</p></body></html>"""
 
 
-def test_routing_pages(spark, rows):
+def test_routing_pages(spark, rows, tmp_path):
     pages = spark.createDataFrame(
         [("1", "u1", 200, PAGE), ("2", "u2", 404, None), ("3", "u3", 0, None), ("4", "u4", 200, "<p>nothing</p>"), ("9", "u9", 200, PAGE)], PAGES
     )
@@ -312,6 +312,10 @@ def test_routing_pages(spark, rows):
     assert rows(out["failures"].select("routing_number", "http_status", "level", "error_type")) == [
         ("2", 404, "FAIL", "HTTPError"), ("3", None, "FAIL", "RequestException"), ("4", 200, "WARN", "MissingContent"),
     ]
+    for _ in range(2):
+        routing.save_routing(out, str(tmp_path))
+    assert sync.read_current(spark, str(tmp_path / "aba_fedach")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "aba_failures")).count() == 6
 
 
 def test_label_values_rules(spark):
