@@ -41,9 +41,11 @@ def local_session(cores: int | str = 8, app: str = "catchment", **settings: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is made only where the session names none."""
+    """The shared folder the session names. Only a local session, as in tests, may get one made for it."""
     path = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="catchment-")
         spark.sparkContext.setCheckpointDir(path)
     return path
