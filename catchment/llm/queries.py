@@ -31,6 +31,20 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", bpe.n_tokens("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import simhash
+
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import parsing
+
+    kept = parsing.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catchment.llm import sharding
 
@@ -50,5 +64,12 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_bpe, op6_sharding, op7_secrets)}
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import recompression
+
+    kept = recompression.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression)}
 SQL: dict[str, str] = {}
