@@ -22,7 +22,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-#: Words whose ids a task keeps for its later blocks. When it is full it is emptied, which costs time and no result.
+#: Words whose ids a worker keeps for its later blocks. When it is full it is emptied, which costs time and no result.
 KEEP_WORDS = 300_000
 
 
@@ -178,8 +178,14 @@ class Encoder:
         return [b"".join(map(self.packed.__getitem__, d.tolist())) for d in docs]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, pattern: str) -> Encoder:
+    """One for each worker process, so that tasks that follow each other know each other's words."""
+    return Encoder(path, pattern)
+
+
 #: Characters of text that are encoded as one block.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 3_000_000
 
 
 def encode(text: Column | str, path: str, pattern: str) -> Column:
@@ -190,16 +196,17 @@ def encode(text: Column | str, path: str, pattern: str) -> Column:
 
     @arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(path, pattern)
+        encoder = _encoder(path, pattern)
         for texts in batches:
             out, block, size = [], [], 0
-            for text in texts.to_pylist():
-                block.append(text)
-                size += len(text or "")
+            for text in texts:  # one at a time, as a batch as strings would be held twice
+                block.append(text.as_py())
+                size += len(block[-1] or "")
                 if size >= BLOCK_CHARS:
-                    out += encoder.block(block)
+                    out.append(pa.array(encoder.block(block), pa.binary()))
                     block, size = [], 0
-            yield pa.array(out + encoder.block(block), pa.binary())
+            out.append(pa.array(encoder.block(block), pa.binary()))
+            yield pa.concat_arrays(out)
 
     return run(text)
 
@@ -211,7 +218,8 @@ def decode(ids: Column | str, path: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = {i: t for t, i in load_ranks(path).items()}
         for packed in batches:
-            yield pa.array([b"".join(map(tokens.__getitem__, np.frombuffer(p, "<u4").tolist())) if p else b"" for p in packed.to_pylist()], pa.binary())
+            texts = (b"".join(map(tokens.__getitem__, np.frombuffer(p.as_buffer(), "<u4").tolist())) if p.is_valid else b"" for p in packed)
+            yield pa.array(texts, pa.binary(), size=len(packed))
 
     return run(ids)
 

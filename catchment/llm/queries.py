@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int) -> Column:
+    """Which of n folds a document is in, by the checksum of its id as text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
 def vocabulary() -> tuple[str, str]:
     """Path of the public vocabulary and its splitting pattern."""
     import public_tokenizers
@@ -21,6 +26,15 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import language
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(4) == 2)
+    model = language.train(docs.where("not held_out"))
+    called = docs.select("doc_id", "held_out", language.identify("text", model).alias("call"))
+    return called.select("doc_id", "held_out", F.col("call.lang").alias("lang_pred"), "call.score", "call.ambiguous")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catchment.llm import bpe
 
@@ -71,5 +85,14 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold(5) == 0).alias("held_out"))
+    model = toxicity.train(docs.where("not held_out"), table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", "held_out", toxicity.score("text", model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op10_toxicity)}
 SQL: dict[str, str] = {}
