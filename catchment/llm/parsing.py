@@ -17,16 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catchment.llm.buffers import flat, mix
+from catchment.llm.buffers import flat
 from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges, rolling
+from catchment.llm.words import BYTES
 
 #: Bytes of a string that counts as repeated, and bytes of the rolling hash.
 LENGTH = 100
 TRIGGER = 32
 
-#: A number for each byte value, the same everywhere.
-BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
 
 def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.take(BYTES, data), offsets

@@ -26,6 +26,13 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import decontamination
+
+    found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "n_tiles", "longest")
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catchment.llm import language
 
@@ -85,6 +92,12 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import embeddings
+
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catchment.llm import toxicity
 
@@ -94,5 +107,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op9_embeddings, op10_toxicity)}
 SQL: dict[str, str] = {}

@@ -10,16 +10,15 @@ are the key that Spark groups by, and the whole windows verify it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catchment.llm import words
 from catchment.llm.buffers import flat, mix
-from catchment.llm.parsing import BYTES
-from catchment.llm.repeats import CHUNK, LAST, Windows, _lists, covered, repeated_ranges
+from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges
 
 #: Words of a passage that counts as repeated.
 LENGTH = 50
@@ -29,7 +28,6 @@ PAIR_WORDS = (4, 8)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -50,43 +48,10 @@ def windows(length: int = LENGTH) -> Windows:
     return Windows(length, around, high, around, 2 * around + longest, False, word_values, symbol_ranks)
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    power = np.full(n, _BASE, np.uint64)
-    back = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-    power[0] = back[0] = 1
-    return np.cumprod(power), np.cumprod(back)
-
-
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of all rows."""
-    inside = ~_SPACE[data]
-    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1]
-    starts[firsts] = inside[firsts]
-    ends = inside.copy()
-    ends[:-1] &= ~inside[1:]
-    ends[firsts[1:] - 1] = inside[firsts[1:] - 1]
-    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
-
-
 def word_values(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word of all rows, and the offsets of rows in words."""
-    starts, ends = word_bounds(data, offsets)
-    out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        base = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + CHUNK, side="right")))
-        piece = data[base : ends[last - 1]]
-        power, back = _powers(CHUNK) if len(piece) <= CHUNK else _powers.__wrapped__(len(piece))
-        sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(np.take(BYTES, piece) * power[: len(piece)], out=sums[1:])
-        at = starts[first:last] - base
-        out[first:last] = (sums[ends[first:last] - base] - sums[at]) * back[at]
-        first = last
-    return mix(out), np.searchsorted(starts, offsets)
+    starts, ends = words.bounds(~_SPACE[data], offsets)
+    return words.hashes(data, starts, ends), np.searchsorted(starts, offsets)
 
 
 def name_runs(names: np.ndarray, fresh: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,17 +73,17 @@ def symbol_ranks(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return out
     fresh = np.zeros(len(values), bool)
     fresh[offsets[:-1][offsets[:-1] < len(values)]] = True
-    stays, words = name_runs(values, fresh, RUN_WORDS)
-    starts, words, fresh = np.flatnonzero(stays), words[stays], fresh[stays]
-    names = mix(values[starts] + words.astype(np.uint64) * _ODD)
+    stays, sizes = name_runs(values, fresh, RUN_WORDS)
+    starts, sizes, fresh = np.flatnonzero(stays), sizes[stays], fresh[stays]
+    names = mix(values[starts] + sizes.astype(np.uint64) * _ODD)
     for turn, most in enumerate(PAIR_WORDS):
         left = (mix(names + np.uint64(turn + 1)) & np.uint64(1)).astype(bool)
-        pairs = np.flatnonzero(left[:-1] & ~left[1:] & ~fresh[1:] & (words[:-1] + words[1:] <= most))
+        pairs = np.flatnonzero(left[:-1] & ~left[1:] & ~fresh[1:] & (sizes[:-1] + sizes[1:] <= most))
         names[pairs] = mix(names[pairs] * _ODD + names[pairs + 1])
-        words[pairs] += words[pairs + 1]
+        sizes[pairs] += sizes[pairs + 1]
         stays = np.ones(len(names), bool)
         stays[pairs + 1] = False
-        names, words, starts, fresh = names[stays], words[stays], starts[stays], fresh[stays]
+        names, sizes, starts, fresh = names[stays], sizes[stays], starts[stays], fresh[stays]
     out[starts] = mix(names ^ _ODD)
     return out
 
