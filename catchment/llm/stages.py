@@ -1,12 +1,36 @@
-"""Stages of the corpus pipeline. Each takes (spark, docs, sf_dir); all but the last return the columns of documents."""
+"""Stages of the corpus pipeline. Each takes (spark, docs, sf_dir); all but the last return the columns of documents.
+
+Nulls: a null text is not toxic, has fingerprint zero, holds no benchmark passage and no secret, and has no tokens.
+A document without doc_id belongs to no group that could be named, so deduplication leaves it in.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from catchment.llm import bpe, secrets
-from catchment.llm.queries import vocabulary
+from catchment.llm import bpe, decontamination, secrets, simhash, toxicity
+from catchment.llm.queries import fold, table, vocabulary
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, learned outside the held-out fold, calls toxic go."""
+    model = toxicity.train(docs.where(fold(5) != 0), table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.score("text", model) < 0.5)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the least doc_id stays; of several rows with that id one."""
+    near = simhash.near_duplicates(docs)
+    first = near.where("doc_id = component_id").select("doc_id").distinct()
+    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    kept = docs.join(first, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(same_id)).where("_copy = 1").drop("_copy")
+    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,9 @@ from catchment.llm import stages
 from catchment.session import shared_dir
 
 STAGES = [
+    ("toxicity", stages.toxicity_filter),
+    ("simhash", stages.simhash_dedup),
+    ("decontamination", stages.benchmark_decontamination),
     ("secrets", stages.secret_scan),
     ("bpe", stages.bpe_encoding),
 ]
