@@ -128,6 +128,11 @@ def replay(words: list[bytes], merges: Merges) -> list[np.ndarray]:
             at = at[(place - head) % 2 == 0]
         right = after[at]
         follower = after[right]
+        beside = np.flatnonzero(follower[:-1] == at[1:])
+        if len(beside):  # the left one of two neighbours merges first, and then stands beside what the right one still is
+            between = merges.of(np.full(len(beside), rank), symbols[at[beside + 1]])
+            lower = (between >= 0) & (between < rank)
+            odd.update(np.searchsorted(ends, at[beside[lower]], side="right").tolist())
         symbols[at], after[at] = rank, follower
         rank_at[right] = -1
         symbols[right] = -1
