@@ -106,11 +106,11 @@ def test_in_one_process(monkeypatch, seed, block, chunk, kind):
     monkeypatch.setattr(repeats, "CHUNK", chunk)
     rows = [r for r in corpus(random.Random(seed), 6) if r[0] is not None]
     rows = sorted(set(rows), key=str)
-    w = parsing.windows() if kind == "bytes" else recompression.windows()
+    kinds = [parsing.windows(100, 32), parsing.windows(100, 80)] if kind == "bytes" else [recompression.windows()]
     run = Local(rows)
-    looked = run.step(repeats.second_look, run.step(repeats.first_look, run.docs, w), w)
-    by_doc = run.by_document(looked)
-    asked = run.joined(by_doc)
+    asked = run.docs
+    for w in kinds:
+        asked = run.joined(run.by_document(run.step(repeats.second_look, run.step(repeats.first_look, asked, w), w)))
     last = run.step(repeats.last_look, run.step(repeats.windows_of, asked, w), w)
     found: dict[int, set[int]] = {}
     for doc, start, n, _ in last:
@@ -146,6 +146,8 @@ class Local:
         caught = []
 
         class Frame:
+            columns = data[0].schema.names
+
             def select(self, *_):
                 return self
 
