@@ -96,7 +96,7 @@ def insured_commercial(fund: Column, bank_class: Column, org_type: Column) -> Co
 
 def specialization_name(code: Column) -> Column:
     labels = F.create_map(*[F.lit(v) for pair in SPECIALIZATIONS.items() for v in pair])
-    return F.coalesce(labels[code.cast("int")], F.lit(SPECIALIZATION_ERROR))
+    return F.coalesce(labels[code.try_cast("int")], F.lit(SPECIALIZATION_ERROR))
 
 
 def supervisory_office(code: Column) -> Column:

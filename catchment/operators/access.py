@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from catchment.session import reuse
 
-# Above this many rows to skip or return, a page is cut from written sorted partitions instead of a top-k.
-SHALLOW_ROWS = 100_000
-
 
 # ---------------------------------------------------------------- filters
 
@@ -124,31 +121,21 @@ def row_hash(df: DataFrame) -> Column:
 def page(
     df: DataFrame, sort_by: str, sort_order: str = "ASC", limit: int = 10, offset: int = 0, key: str | None = None
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the sorted frame.
+    """Rows ``offset`` to ``offset + limit`` of the sorted frame, in its order.
 
-    Near the top this is Spark's top-k. Further down, where that would gather all skipped rows in one
-    task, the sorted frame is written once; row counts per sorted partition tell which few hold the page.
+    The sorted frame is written once and keeps its range partitions. Their row counts, one row each, tell which few
+    hold the page; only these are read again, so no task gathers the rows that are skipped, however many.
     """
-    ordered = order(df, sort_by, sort_order, key)
-    if offset + limit <= SHALLOW_ROWS:
-        return ordered.offset(offset).limit(limit)
-    written = reuse(ordered.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
-    sizes = sorted((r["_part"], r["n"]) for r in written.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
-    wanted, before = [], 0
-    for part, size in sizes:
-        if before < offset + limit and before + size > offset:
-            wanted.append((part, before))
-        before += size
-    if not wanted:
-        return df.limit(0)
-    starts = F.create_map(*[F.lit(v) for pair in wanted for v in pair])
-    place = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) + starts[F.col("_part")]
-    return (
-        written.filter(F.col("_part").isin([p for p, _ in wanted]))
-        .withColumn("_place", place)
-        .filter((F.col("_place") > offset) & (F.col("_place") <= offset + limit))
-        .drop("_part", "_at", "_place")
-    )
+    places = {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
+    written = reuse(order(df, sort_by, sort_order, key).withColumns(places))
+    counts = written.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    hit = starts.where((F.col("_start") < offset + limit) & (F.col("_start") + F.col("_n") > offset)).select("_part", "_start")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) + F.col("_start")
+    paged = written.join(hit, "_part").withColumn("_place", place)
+    paged = paged.where((F.col("_place") > offset) & (F.col("_place") <= offset + limit))
+    return paged.orderBy("_place").drop("_part", "_at", "_start", "_place")
 
 
 def sample(df: DataFrame, rows: int = 10) -> DataFrame:

@@ -33,7 +33,7 @@ def _cover(south: str, north: str, west: str, east: str) -> Column:
 
 
 def _floor(value: Column, side: Column | float) -> Column:
-    return F.floor(value / side).cast("int")
+    return F.floor(value / side).try_cast("int")  # beyond any cell: null, which joins nothing
 
 
 # ---------------------------------------------------------------- circles

@@ -19,7 +19,7 @@ REGISTRY = "query_name string, sql string"
 
 def registry_of(spark: SparkSession, sql_dir: str, overrides: DataFrame | None = None) -> DataFrame:
     """One row per SQL file of the folder."""
-    files = spark.createDataFrame(list(load_sql_folder(sql_dir).items()), REGISTRY)
+    files = spark.createDataFrame(list(load_sql_folder(spark, sql_dir).items()), REGISTRY)
     if overrides is None:
         overrides = spark.createDataFrame([], "query_name string")
     return runlog.build_registry(files, overrides)
@@ -41,23 +41,36 @@ def log_run(spark: SparkSession, rows: list[dict], log_path: str, performance_pa
     runlog.performance_rows(frame).write.mode("append").parquet(performance_path)
 
 
-def run_registered(spark: SparkSession, registry: DataFrame, out: str, user_id: str | None = None) -> list[dict]:
-    """Run each query of a registry, a row per SQL file, and save its output. A failing query is a failed row."""
+def run_registered(
+    spark: SparkSession,
+    registry: DataFrame,
+    out: str,
+    user_id: str | None = None,
+    now: dt.datetime | None = None,
+    log: tuple[str, str] | None = None,
+) -> list[dict]:
+    """Run each query of a registry, a row per SQL file, and save its cleaned output. A failing query is a failed row.
+
+    ``now`` stamps all runs; without it each has its own time. With ``log``, the paths of both logs, every row is
+    appended as its query ends, so a lost driver loses none that ended.
+    """
     rows = []
     for record in registry.orderBy("query_name").collect():
         started = time.monotonic()
         row = {
             "query_name": record["query_name"],
-            "last_run": dt.datetime.now().replace(microsecond=0),
+            "last_run": now or dt.datetime.now().replace(microsecond=0),
             "frequency": record["frequency"],
             "user_id": user_id,
         }
         try:
-            save(extract(spark, record["sql"]), record["output_filename"], record["output_format"], out)
+            save(extract(spark, record["sql"], clean=True), record["output_filename"], record["output_format"], out)
             row |= {"status": "success", "execution_time_seconds": time.monotonic() - started}
         except Exception as error:
             row |= {"status": "failed", "error_message": str(error)}
         rows.append(row)
+        if log:
+            log_run(spark, [row], *log)
     return rows
 
 
@@ -113,11 +126,10 @@ def scheduled_bridge(
     log_path, performance_path, out = f"{base}/query_log", f"{base}/query_performance_log", f"{base}/output"
     registry = registry_of(spark, sql_dir, overrides)
     due = runlog.due_queries(registry, read_log(spark, log_path), now).filter("due").drop("due", "last_run")
-    rows = run_registered(spark, due, out)
+    rows = run_registered(spark, due, out, now=now, log=(log_path, performance_path))
     if not rows:
         empty = spark.createDataFrame([], "name string, decision string, reason string")
         return {"runs": runlog.log_rows(spark, []), "decisions": empty, "summary": gates.run_summary(empty)}
-    log_run(spark, rows, log_path, performance_path)
     decisions = gates.gate(dataset_sizes(spark, out), dataset_sizes(spark, f"{base}/core"), gate_overrides)
     moved = promote(decisions, out, f"{base}/core", f"{base}/review", dry_run)
     return {"runs": runlog.log_rows(spark, rows), "decisions": moved, "summary": gates.run_summary(moved)}

@@ -73,17 +73,8 @@ def tract_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("branch_id", "miles").agg(F.count(F.lit(1)).alias("tracts_in_radius"))
 
 
-def population_in_radius(pairs: DataFrame, census: DataFrame) -> DataFrame:
-    """Sum over the tracts the census knows, for pairs without population attached."""
-    return (
-        pairs.join(census.select("geoid", "population"), "geoid")
-        .groupBy("branch_id", "miles")
-        .agg(F.sum("population").alias("population_in_radius"))
-    )
-
-
 def attached_population(pairs: DataFrame) -> DataFrame:
-    """The same from pairs_with_population, with no further join."""
+    """Sum over the tracts the census knows, from pairs_with_population, with no further join."""
     return (
         pairs.filter("in_census = 1")
         .groupBy("branch_id", "miles")
@@ -201,18 +192,23 @@ def customer_tracts(customers: DataFrame, tracts: DataFrame) -> DataFrame:
 def match_counts(matches: DataFrame) -> DataFrame:
     """Each match row with the number of matches of its branch.
 
-    Counted by aggregation and joined back: a window would send all rows of one branch to one task.
+    Counted by aggregation and joined back: a window would send all rows of one branch to one task. Matches without a
+    branch code are counted together.
     """
-    counts = matches.groupBy("bc_code").agg(F.count("customer_id").alias("count_of_customers"))
-    return matches.join(counts, "bc_code")
+    counts = matches.groupBy(F.col("bc_code").alias("_code")).agg(F.count("customer_id").alias("count_of_customers"))
+    return matches.join(counts, F.col("bc_code").eqNullSafe(F.col("_code"))).drop("_code")
 
 
 def distinct_customers(matches: DataFrame) -> DataFrame:
     return matches.agg(F.count_distinct("customer_id").alias("customers"))
 
 
-def customer_shares(matches: DataFrame) -> DataFrame:
-    """Rows per branch over distinct customers of all branches, as a percentage on every match row."""
+def customer_shares(matches: DataFrame, keep: bool = True) -> DataFrame:
+    """Rows per branch over distinct customers of all branches, as a percentage on every match row.
+
+    With ``keep`` the matches, read here three times, are written once and not worked out again.
+    """
+    matches = reuse(matches) if keep else matches
     total = distinct_customers(matches).scalar()
     return match_counts(matches).select(
         "bc_code",
@@ -231,7 +227,8 @@ def ordered_vertices(isochrones: DataFrame, time_value: int | None = None) -> Da
     """Vertices of each branch's outer rings, numbered from one in ring order.
 
     A branch with several outlines keeps counting: each starts after the vertices of those before it,
-    by drive time. Starts come from vertex counts per drive time, so no branch's outlines are gathered.
+    by drive time. Starts come from vertex counts per drive time, so no branch's outlines are gathered. Outlines
+    without a branch code or drive time are numbered like any other, null before all values.
     """
     keys = ["bc_code", "time_frame_minutes"]
     outer = isochrones.select(
@@ -239,10 +236,13 @@ def ordered_vertices(isochrones: DataFrame, time_value: int | None = None) -> Da
     ).filter(F.col("_ring").isNotNull())
     shorter = Window.partitionBy("bc_code").orderBy("time_frame_minutes").rowsBetween(Window.unboundedPreceding, -1)
     counts = outer.groupBy(*keys).agg(F.sum(F.size("_ring")).alias("_n"))
-    starts = counts.select(*keys, F.coalesce(F.sum("_n").over(shorter), F.lit(0)).alias("_start"))
+    starts = counts.select(
+        F.col("bc_code").alias("_code"), F.col("time_frame_minutes").alias("_minutes"), F.coalesce(F.sum("_n").over(shorter), F.lit(0)).alias("_start")
+    )
+    same_key = F.col("bc_code").eqNullSafe(F.col("_code")) & F.col("time_frame_minutes").eqNullSafe(F.col("_minutes"))
     # Outlines of the same branch and drive time, if there are several, follow each other by shape.
     same = Window.partitionBy(*keys).orderBy("_ring").rowsBetween(Window.unboundedPreceding, -1)
-    placed = outer.withColumn("_within", F.coalesce(F.sum(F.size("_ring")).over(same), F.lit(0))).join(starts, keys)
+    placed = outer.withColumn("_within", F.coalesce(F.sum(F.size("_ring")).over(same), F.lit(0))).join(starts, same_key)
     return placed.select("*", F.posexplode("_ring").alias("_pos", "_p")).select(
         "bc_code",
         "branch_latitude",
@@ -262,5 +262,5 @@ def reach(isochrones: DataFrame, customers: DataFrame, keep: bool = True) -> dic
         "matches": matches,
         "overlaps": spatial.isochrone_overlaps(isochrones),
         "vertices": ordered_vertices(isochrones),
-        "shares": customer_shares(matches),
+        "shares": customer_shares(matches, keep=False),
     }

@@ -45,24 +45,6 @@ FAILURES = _schema(
 )
 PAGES = _schema("routing_number string, url string, status int, html string")
 
-TASK_COLUMNS = [
-    "AccountId",
-    "ActivityDate",
-    "CreatedById",
-    "CreatedDate",
-    "Description",
-    "LastModifiedById",
-    "LastModifiedDate",
-    "OwnerId",
-    "RecordTypeId",
-    "Relationship_Review",
-    "Status",
-    "Subject",
-    "Type",
-    "WhoCount",
-    "WhoId",
-]
-
 MATRIX = T.StructType(
     [
         T.StructField(
@@ -81,9 +63,3 @@ MATRIX = T.StructType(
     ]
     + [T.StructField("durations", T.ArrayType(T.ArrayType(T.DoubleType())))]
 )
-
-# The deposit fields asked for when none are named.
-DEPOSIT_FIELDS = [
-    "YEAR", "CERT", "BKCLASS", "CITY", "CLCODE", "CNTYNAMB", "CNTYNUMB", "DEPDOM", "DEPSUM", "DEPSUMBR",
-    "STNAME", "STNAMEBR", "STNUMBR", "UNINUMBR", "ZIP_RAW", "STALPBR",
-]

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catchment.functions.polygon import RINGS_TYPE, make_valid
+from catchment.operators.cleaning import clean_frame
 from catchment.operators.lookup import duration_pairs
 from catchment.schemas import MATRIX
 
 # Names a routing-number column may have, best first.
 CODE_COLUMNS = ["routing_number", "routing", "aba", "aba_number", "rtn"]
+# The common CSV dialect: quotes doubled inside quotes, line breaks kept inside quotes, spaces kept, and the empty
+# text told from null. A file with quoted breaks cannot be split, so large tables should come as many files.
+CSV_READ = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "enforceSchema": False}
+CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_EMPTY = "\0"  # stands for a quoted empty text while a file is read, which would else come as null
 BOM = "﻿"
 
 
@@ -23,15 +27,28 @@ def _strings(names: list[str]) -> T.StructType:
 
 
 def header_of(spark: SparkSession, path: str, delimiter: str = ",") -> list[str]:
-    """Column names of a CSV, from its first line only; a byte-order mark is dropped."""
-    frame = spark.read.option("header", True).option("sep", delimiter).option("enforceSchema", True).csv(path)
-    return [c.lstrip(BOM) for c in frame.columns]
+    """Column names of a CSV, from its first line only, as they stand there."""
+    return spark.read.options(**CSV_READ).option("sep", delimiter).csv(path).columns
+
+
+def read_csv(spark: SparkSession, path: str, delimiter: str = ",", typed: bool = False) -> DataFrame:
+    """CSV with a header: every column text, or with its type inferred from all rows (empty text is null then).
+
+    A folder or pattern is one table: a file whose header differs, in names or order, raises when it is read, so no
+    value lands under another name. A byte-order mark is dropped.
+    """
+    reader = spark.read.options(**CSV_READ).option("sep", delimiter)
+    if typed:
+        frame = reader.option("inferSchema", True).csv(path)
+    else:
+        names = header_of(spark, path, delimiter)
+        frame = reader.option("emptyValue", _EMPTY).schema(_strings(names)).csv(path)
+        frame = frame.select(*[F.when(F.col(f"`{n}`") == _EMPTY, "").otherwise(F.col(f"`{n}`")).alias(n) for n in names])
+    return frame.toDF(*[c.lstrip(BOM) for c in frame.columns])
 
 
 def read_text_csv(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """CSV with a header, every column text."""
-    names = header_of(spark, path, delimiter)
-    return spark.read.schema(_strings(names)).option("header", True).option("sep", delimiter).csv(path)
+    return read_csv(spark, path, delimiter)
 
 
 def read_points(spark: SparkSession, path: str, id: str = "branch_id", lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -41,7 +58,7 @@ def read_points(spark: SparkSession, path: str, id: str = "branch_id", lat: str
 
 def read_flat_strings(spark: SparkSession, path: str) -> DataFrame:
     """CSV without a header, all text under positional names; nothing is inferred, so zeros in front stay."""
-    return spark.read.option("header", False).csv(path)
+    return spark.read.options(**CSV_READ).option("header", False).csv(path)
 
 
 def code_column(names: list[str]) -> str:
@@ -54,7 +71,7 @@ def read_codes(
 ) -> DataFrame:
     """The code column of a CSV as text, named ``code``."""
     if not header:
-        return spark.read.schema(_strings(["code"])).option("header", False).option("sep", delimiter).csv(path)
+        return spark.read.schema(_strings(["code"])).options(**CSV_READ).option("header", False).option("sep", delimiter).csv(path)
     frame = read_text_csv(spark, path, delimiter)
     return frame.select(F.col(f"`{column or code_column(frame.columns)}`").alias("code"))
 
@@ -170,23 +187,41 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return True
 
 
-def parquet_folder(folder: str) -> dict[str, str]:
+def children(spark: SparkSession, folder: str, suffix: str) -> dict[str, str]:
+    """Stem to path of the files and datasets of a folder with a suffix, on whatever file system it names.
+
+    An absent folder raises; a path that is itself such a file stands for itself.
+    """
+    session = spark._jsparkSession.sessionState().newHadoopConf()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(session)
+    if not system.exists(path):
+        raise FileNotFoundError(f"no folder {folder}")
+    named = folder.rstrip("/").rsplit("/", 1)[-1]
+    if named.endswith(suffix):
+        return {named.removesuffix(suffix): folder}
+    found = ((s.getPath().getName(), s.getPath().toString()) for s in system.listStatus(path))
+    return {name.removesuffix(suffix): at for name, at in sorted(found) if name.endswith(suffix)}
+
+
+def parquet_folder(spark: SparkSession, folder: str) -> dict[str, str]:
     """File stem to path of every Parquet file or dataset in a folder."""
-    return {p.stem: str(p) for p in sorted(Path(folder).glob("*.parquet"))}
+    return children(spark, folder, ".parquet")
 
 
 def register_folder(spark: SparkSession, folder: str, names: list[str] | None = None) -> list[str]:
     """Make each chosen Parquet file a named view; unknown names are ignored. Returns what was made."""
-    files = parquet_folder(folder)
+    files = parquet_folder(spark, folder)
     chosen = [n for n in (files if names is None else names) if n in files]
     for name in chosen:
         spark.read.parquet(files[name]).createOrReplaceTempView(name)
     return chosen
 
 
-def load_sql_folder(folder: str) -> dict[str, str]:
+def load_sql_folder(spark: SparkSession, folder: str) -> dict[str, str]:
     """File name to text of every ``.sql`` file."""
-    return {p.name: p.read_text(encoding="utf-8") for p in sorted(Path(folder).glob("*.sql"))}
+    files = children(spark, folder, ".sql")
+    return {f"{stem}.sql": spark.read.text(at, wholetext=True).first()[0] for stem, at in files.items()}
 
 
 def statements(script: str) -> list[str]:
@@ -202,6 +237,8 @@ def run_script(spark: SparkSession, script: str) -> DataFrame | None:
     return result
 
 
-def extract(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
+def extract(spark: SparkSession, sql: str, limit: int | None = None, clean: bool = False) -> DataFrame:
+    """A query's rows without envelope columns; cleaned on request, as run-and-save does."""
     df = drop_envelope_columns(spark.sql(sql))
-    return df if limit is None else df.limit(limit)
+    df = df if limit is None else df.limit(limit)
+    return clean_frame(df) if clean else df

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from catchment.functions.polygon import as_wkt
 from catchment.operators.access import row_hash
 from catchment.operators.merge import lenient_union, strict_union
 from catchment.schemas import FAILURES
-from catchment.sources.readers import extract, read_text_csv
+from catchment.sources.readers import CSV_WRITE, children, extract, read_csv, read_text_csv
 
 FORMATS = ("csv", "parquet", "table", "dataframe")
 
@@ -27,7 +26,7 @@ def save(df: DataFrame, name: str, output_format: str = "dataframe", path: str =
         if output_format == "table":
             df.write.mode(mode).saveAsTable(name)
         elif output_format == "csv":
-            df.write.mode(mode).option("header", True).csv(f"{path}/{name}.csv")
+            df.write.mode(mode).options(**CSV_WRITE).csv(f"{path}/{name}.csv")
         else:
             df.write.mode(mode).parquet(f"{path}/{name}.parquet")
     except Exception as error:
@@ -36,10 +35,10 @@ def save(df: DataFrame, name: str, output_format: str = "dataframe", path: str =
 
 
 def save_many(spark: SparkSession, queries: list[str], configs: list[dict], path: str = "output") -> list[DataFrame]:
-    """Run and save each query with its config, as many as both lists have; frames asked for come back."""
+    """Run, clean and save each query with its config, as many as both lists have; frames asked for come back."""
     out = []
     for sql, config in zip(queries, configs):
-        kept = save(extract(spark, sql), config.get("output_filename", "output"), config.get("output_format", "dataframe"), path)
+        kept = save(extract(spark, sql, clean=True), config.get("output_filename", "output"), config.get("output_format", "dataframe"), path)
         if kept is not None:
             out.append(kept)
     return out
@@ -55,7 +54,7 @@ def export_both(df: DataFrame, name: str, path: str, sort_by: list[str]) -> tupl
     df.write.mode("overwrite").parquet(parquet)
     written = df.sparkSession.read.schema(df.schema).parquet(parquet)
     ordered = written.orderBy(*[F.asc_nulls_last(c) for c in sort_by], row_hash(written))
-    ordered.write.mode("overwrite").option("header", True).csv(csv)
+    ordered.write.mode("overwrite").options(**CSV_WRITE).csv(csv)
     return parquet, csv
 
 
@@ -81,26 +80,29 @@ def write_geojson(df: DataFrame, path: str) -> None:
     feature_lines(df).write.mode("overwrite").text(path)
 
 
-def csv_to_parquet(spark: SparkSession, path: str, out: str | None = None) -> list[str]:
-    """One CSV, or each CSV of a folder, to Parquet of the same stem; other files are skipped."""
-    source = Path(path)
-    files = sorted(source.glob("*.csv")) if source.is_dir() else [source] if source.suffix == ".csv" else []
+def csv_to_parquet(spark: SparkSession, path: str, out: str | None = None, typed: bool = True) -> list[str]:
+    """One CSV, or each CSV of a folder, to Parquet of the same stem, types inferred; other files are skipped."""
     written = []
-    for file in files:
-        target = str(Path(out or file.parent) / f"{file.stem}.parquet")
-        read_text_csv(spark, str(file)).write.mode("overwrite").parquet(target)
+    for stem, file in children(spark, path, ".csv").items():
+        target = f"{(out or file.rsplit('/', 1)[0]).rstrip('/')}/{stem}.parquet"
+        read_csv(spark, file, typed=typed).write.mode("overwrite").parquet(target)
         written.append(target)
     return written
 
 
-def file_to_table(spark: SparkSession, path: str) -> str:
-    """CSV or Parquet to a managed table named by the stem."""
-    stem = Path(path).stem
-    frame = read_text_csv(spark, path) if path.endswith(".csv") else spark.read.parquet(path)
+def file_to_table(spark: SparkSession, path: str, typed: bool = True) -> str:
+    """CSV or Parquet to a managed table named by the stem; types of a CSV are inferred."""
+    stem = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    frame = read_csv(spark, path, typed=typed) if path.endswith(".csv") else spark.read.parquet(path)
     frame.write.mode("overwrite").saveAsTable(stem)
     return stem
 
 
+def folder_to_tables(spark: SparkSession, folder: str) -> list[str]:
+    """Every CSV of a folder to a table named by its stem."""
+    return [file_to_table(spark, file) for file in children(spark, folder, ".csv").values()]
+
+
 def table_to_parquet(spark: SparkSession, table: str, folder: str) -> str:
     target = f"{folder}/{table}.parquet"
     spark.table(table).write.mode("overwrite").parquet(target)
@@ -110,7 +112,7 @@ def table_to_parquet(spark: SparkSession, table: str, folder: str) -> str:
 def append_batches(df: DataFrame, csv: str | None = None, parquet: str | None = None) -> None:
     """Append to either or both; each CSV part has its own header, which readers of the folder skip."""
     if csv:
-        df.write.mode("append").option("header", True).csv(csv)
+        df.write.mode("append").options(**CSV_WRITE).csv(csv)
     if parquet:
         df.write.mode("append").parquet(parquet)
 
@@ -133,18 +135,23 @@ def export_each(spark: SparkSession, exports: dict[str, Callable[[], object]]) -
 
 
 def merge_files(spark: SparkSession, paths: list[str], out: str) -> None:
-    """Strict union of CSV or Parquet files into one dataset of the format of the first."""
+    """Strict union of CSV or Parquet files into one dataset of the format of the first; types of CSV are inferred."""
     if not paths:
         raise ValueError("no files to merge")
     csv = paths[0].endswith(".csv")
-    frames = {p: read_text_csv(spark, p) if csv else spark.read.parquet(p) for p in paths}
+    frames = {p: read_csv(spark, p, typed=True) if csv else spark.read.parquet(p) for p in paths}
     merged = strict_union(frames)
     if csv:
-        merged.write.mode("overwrite").option("header", True).csv(out)
+        merged.write.mode("overwrite").options(**CSV_WRITE).csv(out)
     else:
         merged.write.mode("overwrite").parquet(out)
 
 
+def merge_folder(spark: SparkSession, folder: str, suffix: str, out: str) -> None:
+    """Strict union of all files of a folder with a suffix, in name order."""
+    merge_files(spark, list(children(spark, folder, suffix).values()), out)
+
+
 def merge_readable(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """Union by name of the CSV files that can be read; None when there is none."""
     frames = []

@@ -96,6 +96,9 @@ def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = No
     ensure_target(spark, path, staged.schema, buckets)
     version, buckets = _pointer(spark, path)
     held = _manifest(spark, path, version)
+    known = spark.read.parquet(f"{path}/schema").columns
+    if new := [c for c in latest.columns if c not in known]:
+        raise ValueError(f"the table has no column {', '.join(new)}")
     bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
     touched = [r[0] for r in latest.select(bucket.alias("b")).distinct().collect()]
     before = _read(spark, path, {b: v for b, v in held.items() if b in touched})
@@ -107,6 +110,8 @@ def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = No
     merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
         f"{path}/data/version={version + 1}"
     )
+    if current_version(spark, path) != version:
+        raise RuntimeError(f"another merge has moved {path} on; repeat this one")
     _point_to(spark, path, version + 1, buckets, {**held, **{b: version + 1 for b in touched}})
 
 
@@ -129,13 +134,19 @@ def save_sync(spark: SparkSession, state_path: str, table: str, value: int) -> N
 def sync_one(source: DataFrame, spec: TableSpec, path: str, state_path: str) -> tuple[str, int]:
     """Merge rows changed since the last sync and move the state to the greatest change among them.
 
-    Returns the name and the number of changed rows. Without any, the state is written again as it was.
+    Rows that bear the last sync's very value are looked at again, as some may have landed after it: those the table
+    does not hold as they are count as changed. Returns the name and the number of changed rows. Without any, the
+    state is written again as it was.
     """
     spark = source.sparkSession
     last = last_sync(spark, state_path, spec.name)
     staged = changed_since(source, spec.last_modified_column, last)
     if spec.primary_key not in staged.columns:
         raise ValueError(f"key column {spec.primary_key} is not in the incoming data of {spec.name}")
+    held = read_current(spark, f"{path}/{spec.name}")
+    if held is not None:
+        at_last = F.col(spec.last_modified_column) == last
+        staged = staged.unionByName(source.filter(at_last).exceptAll(held.filter(at_last).select(*source.columns)))
     found = staged.agg(F.count(F.lit(1)).alias("n"), F.max(spec.last_modified_column).alias("newest")).first()
     if found["n"]:
         # Only rows this run has counted: a source that grows meanwhile keeps the rest for the next run.

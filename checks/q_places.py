@@ -229,7 +229,16 @@ def _(v):
     return lookup.branch_minutes(clean_branches(v).select("branch_id"), [3, 5, 10])
 
 
-@check("join20_duration_pairs")
+@check(
+    "join20_duration_pairs",
+    """WITH side AS (SELECT s_suppkey AS k, s_acctbal AS bal, unnest(range(3)) AS i FROM supplier)
+       SELECT CASE WHEN s.i = 2 THEN 'Unknown' ELSE 's' || (s.k + s.i) END AS source_name,
+              CAST(s.k + s.i AS DOUBLE) / 10 AS source_longitude, CAST(s.k - s.i AS DOUBLE) / 10 AS source_latitude, CAST(s.i AS DOUBLE) AS source_distance,
+              CASE WHEN d.i = 2 THEN 'Unknown' ELSE 'd' || (d.k + d.i) END AS destination_name,
+              CAST(d.k + d.i AS DOUBLE) / 10 AS destination_longitude, CAST(d.k - d.i AS DOUBLE) / 10 AS destination_latitude, CAST(d.i AS DOUBLE) AS destination_distance,
+              CASE WHEN s.i = 0 THEN CAST(d.i + 1 AS DOUBLE) WHEN s.i = 1 AND d.i = 0 THEN CAST(s.bal AS DOUBLE) END AS duration
+       FROM side s JOIN side d ON s.k = d.k""",
+)
 def _(v):
     def side(key, name):
         return f"transform(sequence(0, 2), i -> struct(if(i = 2, null, concat('{name}', {key} + i)) as name, array(({key} + i) / 10, ({key} - i) / 10) as location, cast(i as double) as distance))"

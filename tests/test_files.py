@@ -101,11 +101,48 @@ def test_folder_and_scripts(spark, tmp_path, saver_frame):
     assert readers.register_folder(spark, str(tmp_path), ["people", "unknown"]) == ["people"]
     (tmp_path / "a.sql").write_text("SELECT 1 AS a; ; SELECT Name FROM people")
     (tmp_path / "b.txt").write_text("no")
-    assert list(readers.load_sql_folder(str(tmp_path))) == ["a.sql"]
-    assert readers.run_script(spark, readers.load_sql_folder(str(tmp_path))["a.sql"]).first()[0] == "Test"
+    assert list(readers.load_sql_folder(spark, str(tmp_path))) == ["a.sql"]
+    assert readers.run_script(spark, readers.load_sql_folder(spark, str(tmp_path))["a.sql"]).first()[0] == "Test"
     assert readers.extract(spark, "SELECT *, 'x' AS attributes FROM people", 5).columns == ["Id", "Name"]
 
 
+def test_absent_folders_raise(spark, tmp_path):
+    for listing in (lambda at: readers.register_folder(spark, at), lambda at: readers.load_sql_folder(spark, at), lambda at: sinks.csv_to_parquet(spark, at)):
+        with pytest.raises(FileNotFoundError):
+            listing(str(tmp_path / "absent"))
+
+
+TEXTS = ['say "hi", ok', "two\nlines", "", None, " spaces ", 'only "', "a,b", "\\", "é"]
+
+
+def test_csv_round_trip_loses_nothing(spark, tmp_path, rows):
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(TEXTS)], "id string, t string").repartition(3)
+    sinks.save(df, "texts", "csv", str(tmp_path))
+    sinks.append_batches(df, csv=str(tmp_path / "twice"))
+    assert rows(readers.read_text_csv(spark, str(tmp_path / "texts.csv"))) == rows(df)
+    assert rows(readers.read_text_csv(spark, str(tmp_path / "twice"))) == rows(df)
+    sinks.csv_to_parquet(spark, str(tmp_path), str(tmp_path / "out"), typed=False)
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "texts.parquet"))) == rows(df)
+
+
+def test_other_column_order_raises(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "d" / "2.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_text_csv(spark, str(tmp_path / "d")).collect()
+
+
+def test_typed_reads_and_folders(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("n,t\n1,x\n")
+    (tmp_path / "two.csv").write_text("n,t\nz,x\n")
+    assert dict(readers.read_csv(spark, str(tmp_path / "one.csv"), typed=True).dtypes) == {"n": "int", "t": "string"}
+    assert sinks.folder_to_tables(spark, str(tmp_path)) == ["one", "two"]
+    assert spark.table("one").schema["n"].dataType == T.IntegerType()
+    with pytest.raises(ValueError, match="different types"):
+        sinks.merge_folder(spark, str(tmp_path), ".csv", str(tmp_path / "both"))
+
+
 # ---------------------------------------------------------------- sinks
 
 
@@ -155,8 +192,9 @@ def test_without_geometry(spark):
 def test_conversions(spark, tmp_path):
     (tmp_path / "loc.csv").write_text("code,n\n007,1\n")
     (tmp_path / "skip.txt").write_text("x")
-    assert len(sinks.csv_to_parquet(spark, str(tmp_path), str(tmp_path / "out"))) == 1
-    assert spark.read.parquet(str(tmp_path / "out" / "loc.parquet")).first()["code"] == "007"
+    for typed, code in ((False, "007"), (True, 7)):
+        assert len(sinks.csv_to_parquet(spark, str(tmp_path), str(tmp_path / "out"), typed)) == 1
+        assert spark.read.parquet(str(tmp_path / "out" / "loc.parquet")).first()["code"] == code
     assert sinks.csv_to_parquet(spark, str(tmp_path / "skip.txt")) == []
     assert sinks.file_to_table(spark, str(tmp_path / "loc.csv")) == "loc"
     assert spark.read.parquet(sinks.table_to_parquet(spark, "loc", str(tmp_path / "back"))).count() == 1
@@ -224,8 +262,11 @@ def test_sync_runs(spark, tmp_path, rows):
     assert sync.sync_one(source, SPEC, tables, state) == ("things", 0)
     assert sync.last_sync(spark, state, "things") == 3000
     later = source.unionByName(spark.createDataFrame([(2, "b2", 4000), (4, "d", 5000), (1, "equal", 3000)], SOURCE))
-    assert sync.sync_many({"things": later}, [SPEC], tables, state) == [("things", 2)]
-    assert rows(sync.read_current(spark, f"{tables}/things")) == [(1, "a", 1000), (2, "b2", 4000), (3, "c", 3000), (4, "d", 5000)]
+    # The last one landed late, with the very value the state stands at.
+    assert sync.sync_many({"things": later}, [SPEC], tables, state) == [("things", 3)]
+    assert rows(sync.read_current(spark, f"{tables}/things")) == [(1, "equal", 3000), (2, "b2", 4000), (3, "c", 3000), (4, "d", 5000)]
+    with pytest.raises(ValueError, match="no column more"):
+        sync.merge_into(source.withColumn("more", F.lit(1)), f"{tables}/things", "id")
     with pytest.raises(ValueError, match="key column"):
         sync.sync_one(source.drop("id"), SPEC, tables, str(tmp_path / "fresh"))
 

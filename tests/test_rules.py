@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catchment.functions import bank, census, text
 from catchment.operators import access, cleaning, gate, lookup, profile, runlog, upsert
+from catchment.plans import places
 
 
 def apply(spark, values, rule, kind="string"):
@@ -164,15 +165,39 @@ def test_upsert_twice_is_once(spark, rows):
         upsert.upsert(target, staged.drop("id"), "id", "ts")
 
 
-def test_deep_page_equals_shallow(spark, monkeypatch):
-    df = spark.range(0, 5000, numPartitions=7).selectExpr("id", "id * 7919 % 5000 as v")
-    shallow = [tuple(r) for r in access.page(df, "v", "DESC", limit=40, offset=3210, key="id").collect()]
-    monkeypatch.setattr(access, "SHALLOW_ROWS", 10)
-    deep = sorted((tuple(r) for r in access.page(df, "v", "DESC", limit=40, offset=3210, key="id").collect()), key=lambda r: -r[1])
-    assert deep == shallow and len(deep) == 40
+@pytest.mark.parametrize("limit,offset", [(10, 0), (40, 3210), (1200, 600), (5000, 0), (30, 4990)])
+def test_pages_are_slices_in_order(spark, limit, offset):
+    df = spark.range(0, 5000, numPartitions=7).selectExpr("id", "if(id % 50 = 0, null, id * 7919 % 700) as v")
+    whole = [tuple(r) for r in access.order(df, "v", "DESC", key="id").collect()]
+    assert [tuple(r) for r in access.page(df, "v", "DESC", limit, offset, key="id").collect()] == whole[offset : offset + limit]
     assert access.page(df, "v", limit=5, offset=9000, key="id").count() == 0
 
 
+def test_rows_without_a_key_stay_apart(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (None, "old")], "id int, name string")
+    staged = spark.createDataFrame([(1, "b", 9), (None, "x", 1), (None, "y", 2)], "id int, name string, more int")
+    assert rows(upsert.upsert(target, staged, "id")) == rows(spark.createDataFrame([(1, "b", 9), (None, "old", None), (None, "x", 1), (None, "y", 2)], "id int, name string, more int"))
+    with pytest.raises(ValueError, match="no column name"):
+        upsert.upsert(target, staged.drop("name"), "id")
+
+
+def test_null_keys_keep_shares_and_vertices(spark):
+    ring = "array(struct(0D as lon, 0D as lat), struct(1D as lon, 0D as lat), struct(1D as lon, 1D as lat))"
+    outlines = spark.range(2).selectExpr("if(id = 0, 'a', null) as bc_code", "cast(null as int) as time_frame_minutes", "0D as branch_latitude", "0D as branch_longitude", f"array({ring}) as rings")
+    assert sorted(r["order"] for r in places.ordered_vertices(outlines, 15).collect()) == [1, 1, 2, 2, 3, 3]
+    matches = spark.createDataFrame([("a", "c1"), (None, "c1"), (None, "c2")], "bc_code string, customer_id string")
+    got = sorted(((r.bc_code, r.count_of_customers) for r in places.match_counts(matches).collect()), key=str)
+    assert got == [("a", 1), (None, 2), (None, 2)]
+
+
+def test_junk_values_do_not_end_a_job(spark):
+    assert spark.createDataFrame([("x",), ("4",)], "c string").select(bank.specialization_name(F.col("c"))).count() == 2
+    junk = spark.createDataFrame([("k", 1e12, 2.0), ("ok", 0.5, 0.5)], "customer_id string, latitude double, longitude double")
+    tracts = spark.range(1).selectExpr("'g' as geoid", "'1' as state_fips", "'2' as county_fips", "'3' as ce_tract", "array(array(struct(0D as lon, 0D as lat), struct(1D as lon, 0D as lat), struct(1D as lon, 1D as lat), struct(0D as lon, 1D as lat), struct(0D as lon, 0D as lat))) as rings")
+    got = {r.customer_id: r.geo_id for r in places.customer_tracts(junk, tracts).collect()}
+    assert got == {"k": None, "ok": "g"}
+
+
 def test_landed_pages_and_completeness(spark):
     df = spark.createDataFrame([(p, i) for p, n in ((0, 3), (1, 3), (2, 2), (3, 3)) for i in range(n)], "page int, i int")
     kept = access.landed_pages(df, "page", 3)
