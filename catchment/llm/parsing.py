@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catchment.llm.buffers import flat
-from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges, rolling
+from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges, rolling, with_ranges
 from catchment.llm.words import BYTES
 
-#: Bytes of a string that counts as repeated, and bytes of the rolling hash.
+#: Bytes of a string that counts as repeated, and bytes of the rolling hash: for all text, and for what that leaves open.
 LENGTH = 100
-TRIGGER = 32
+TRIGGERS = (32, 80)
 
 
 def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,12 +37,12 @@ def _triggers(values: np.ndarray, offsets: np.ndarray, trigger: int) -> np.ndarr
     return out
 
 
-def windows(length: int = LENGTH, trigger: int = TRIGGER) -> Windows:
+def windows(length: int = LENGTH, trigger: int = TRIGGERS[0]) -> Windows:
     trigger = min(trigger, length)
     return Windows(length, 0, length - trigger, 0, 0, True, _units, partial(_triggers, trigger=trigger))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, triggers: tuple[int, ...] = TRIGGERS) -> DataFrame:
     """doc_id, kept (binary), n_bytes, n_removed, n_spans of each row, without the bytes of repeated strings.
 
     A byte goes when a string of `length` bytes over it also starts earlier: in a smaller doc_id, or in the same
@@ -50,9 +50,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     doc_id stay whole and count as no source; rows that share a doc_id are one document, told apart by start only. Only
     doc_id and text are read; an empty table gives no rows.
     """
-    w = windows(length, trigger)
     named = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    ranges = repeated_ranges(named.where("doc is not null and text is not null"), w)
+    ranges = repeated_ranges(named, *(windows(length, t) for t in triggers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,5 +72,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    joined = named.join(ranges, "doc", "left")
-    return joined.select("doc", "text", "ranges").mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return with_ranges(named, ranges, all_texts=True).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")

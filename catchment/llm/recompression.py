@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from catchment.llm import words
 from catchment.llm.buffers import flat, mix
-from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges
+from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges, with_ranges
 
 #: Words of a passage that counts as repeated.
 LENGTH = 50
@@ -98,7 +98,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     w = windows(length)
     named = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    ranges = repeated_ranges(named.where("doc is not null and text is not null"), w)
+    ranges = repeated_ranges(named, w)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,5 +116,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             columns = [batch.column("doc"), kept, pa.array(np.diff(word_offsets)), pa.array(removed)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "n_words", "n_removed"])
 
-    joined = named.join(ranges, "doc", "left")
-    return joined.select("doc", "text", "ranges").mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long")
+    return with_ranges(named, ranges, all_texts=True).mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long")

@@ -7,10 +7,12 @@ Neighbouring windows with one anchor form a segment. Segments, a fraction of the
    Repeats inside the block are settled at once, so a hot passage sends at most one row for each block and not one for
    each copy; a key that stands in several different segments of the block is settled likewise.
 2. `second_look`: a whole segment that stands earlier is repeated. A key of one segment only is unique. What is left,
-   segments that share their key and differ further out, is asked for window by window.
-3. `windows_of`, `last_look`: these windows by two independent 64-bit hashes; all but the earliest are repeated.
+   segments that share their key and differ further out, is asked for.
+3. Both looks again at what is asked for, with a second kind of anchor whose key is longer, if there is one.
+4. `windows_of`, `last_look`: what is still asked for window by window, by two independent 64-bit hashes; all but the
+   earliest are repeated.
 
-No step lists pairs of places, and nothing but documents that share a key is read window by window.
+No step lists pairs of places. All joins with the texts have one form, so that Spark shuffles the texts once.
 """
 
 from __future__ import annotations
@@ -180,16 +182,18 @@ def _in_block(key: np.ndarray, name: np.ndarray, doc: np.ndarray, start: np.ndar
 
 
 def first_look(docs: DataFrame, w: Windows) -> DataFrame:
-    """Rows of ROW from the columns doc (long, not null) and text."""
+    """Rows of ROW from the columns doc (long; nulls are passed over) and text; with a column ranges, of the asked
+    windows only, beside those known to be repeated."""
+    restricted = "ranges" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
-            data, offsets = flat(batch.column("text"))
-            for first, at, values, inner in chunks(data, offsets, w):
+            if restricted:
+                yield _known(batch)
+            for doc, base, values, inner in _asked(batch, w) if restricted else _all(batch, w):
                 row, start, n, key, name = segments(values, inner, w)
-                held.append((key, name, ids[row + first], start + at, n))
+                held.append((key, name, doc[row], start + base[row], n))
                 size += len(values) if w.within else 6 * len(values)
                 if size >= BLOCK_BYTES:
                     yield from _in_block(*map(np.concatenate, zip(*held)), w)
@@ -197,7 +201,48 @@ def first_look(docs: DataFrame, w: Windows) -> DataFrame:
         if held:
             yield from _in_block(*map(np.concatenate, zip(*held)), w)
 
-    return docs.select("doc", "text").mapInArrow(run, ROW)
+    return docs.mapInArrow(run, ROW)
+
+
+def _all(batch: pa.RecordBatch, w: Windows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Document and first window of each row, values and offsets, of pieces that together hold all windows."""
+    named = batch.filter(batch.column("doc").is_valid())
+    ids = named.column("doc").to_numpy()
+    for first, at, values, inner in chunks(*flat(named.column("text")), w):
+        rows = len(inner) - 1
+        yield ids[first : first + rows], np.full(rows, at), values, inner
+
+
+def _asked(batch: pa.RecordBatch, w: Windows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """As _all, with a row for each asked range of windows and no others."""
+    some = batch.filter(batch.column("ranges").is_valid())
+    ids = some.column("doc").to_numpy()
+    row, start, n, kind = _lists(some.column("ranges"))
+    asked = np.flatnonzero(kind == ASKED)
+    asked = asked[np.lexsort((start[asked], row[asked]))]
+    row, start, n = row[asked], start[asked], n[asked]
+    for first, at, values, inner in chunks(*flat(some.column("text")), w):
+        low, high = np.searchsorted(row, [first, first + len(inner) - 1])
+        r, last = row[low:high] - first, np.diff(inner) - w.length + 1
+        s = np.maximum(start[low:high] - at, 0)
+        size = np.minimum(start[low:high] + n[low:high] - at, last[r]) - s
+        r, s, size = (x[size > 0] for x in (r, s, size))
+        ends = np.cumsum(size + w.length - 1)
+        done = 0
+        while done < len(r):
+            until = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + 2 * CHUNK, side="right")))
+            part = slice(done, until)
+            units = size[part] + w.length - 1
+            yield ids[first + r[part]], s[part] + at, values[_spread(inner[r[part]] + s[part], units)], np.concatenate([[0], np.cumsum(units)])
+            done = until
+
+
+def _known(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The ranges that are known to be repeated."""
+    row, start, n, kind = _lists(batch.column("ranges"))
+    known = kind == REPEATED
+    doc = batch.column("doc").take(pa.array(row[known])).to_numpy(zero_copy_only=False)
+    return _settled(REPEATED, doc.astype(np.int64), start[known], n[known])
 
 
 def second_look(rows: DataFrame, w: Windows) -> DataFrame:
@@ -252,37 +297,23 @@ def windows_of(docs: DataFrame, w: Windows) -> DataFrame:
     """Rows of ROW, from doc, text and ranges: the asked windows by two hashes, and what is repeated already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
-            row, start, n, kind = _lists(batch.column("ranges"))
-            known = kind == REPEATED
-            yield _settled(REPEATED, ids[row[known]], start[known], n[known])
-            data, offsets = flat(batch.column("text"))
-            row, start, n = row[~known], start[~known], n[~known]
-            order = np.lexsort((start, row))
-            row, start, n = row[order], start[order], n[order]
-            held, size = [], 0
-            for first, at, values, inner in chunks(data, offsets, w):
-                lo, hi = np.searchsorted(row, [first, first + len(inner) - 1])
-                if lo == hi:
-                    continue
-                windows = np.diff(inner) - w.length + 1
-                low = np.maximum(start[lo:hi] - at, 0)
-                high = np.minimum(start[lo:hi] + n[lo:hi] - at, windows[row[lo:hi] - first])
-                size_of = np.maximum(high - low, 0)
-                rows = np.repeat(row[lo:hi], size_of)
-                inside = _spread(low, size_of)
-                places = inner[rows - first] + inside
-                one, two = (mix(rolling(values, w.length, base)[places]) for base in _BASES)
-                held.append((one, two, ids[rows], inside + at))
-                size += len(places)
+            yield _known(batch)
+            for doc, base, values, inner in _asked(batch, w):
+                n = np.diff(inner) - w.length + 1
+                row = np.repeat(np.arange(len(n)), n)
+                inside = _spread(np.zeros(len(n), np.int64), n)
+                one, two = (mix(rolling(values, w.length, b)[inner[row] + inside]) for b in _BASES)
+                held.append((one, two, doc[row], base[row] + inside))
+                size += len(row)
                 if size >= CHUNK:
                     yield from _windows(*map(np.concatenate, zip(*held)), w)
                     held, size = [], 0
-            if held:
-                yield from _windows(*map(np.concatenate, zip(*held)), w)
+        if held:
+            yield from _windows(*map(np.concatenate, zip(*held)), w)
 
-    return docs.select("doc", "text", "ranges").mapInArrow(run, ROW)
+    return docs.mapInArrow(run, ROW)
 
 
 def _windows(one: np.ndarray, two: np.ndarray, doc: np.ndarray, start: np.ndarray, w: Windows) -> Iterator[pa.RecordBatch]:
@@ -314,11 +345,19 @@ def last_look(rows: DataFrame, w: Windows) -> DataFrame:
     return dealt.mapInArrow(run, "doc long, start int, n int, kind int")
 
 
-def repeated_ranges(docs: DataFrame, w: Windows) -> DataFrame:
-    """doc and ranges of all windows that stand earlier too, from the columns doc and text."""
-    looked = by_document(second_look(first_look(docs, w), w))
-    asked = docs.select("doc", "text").join(looked, "doc")
-    return by_document(last_look(windows_of(asked, w), w))
+def with_ranges(docs: DataFrame, ranges: DataFrame, all_texts: bool = False) -> DataFrame:
+    """doc, text and ranges of all rows; texts without ranges are left out as null unless they are wanted."""
+    joined = docs.select("doc", "text").join(ranges, "doc", "left")
+    return joined if all_texts else joined.select("doc", F.when(F.col("ranges").isNotNull(), F.col("text")).alias("text"), "ranges")
+
+
+def repeated_ranges(docs: DataFrame, *kinds: Windows) -> DataFrame:
+    """doc and ranges of all windows that stand earlier too, from the columns doc and text. The kinds of windows have
+    the same length and differ in their anchors: those with shorter keys first."""
+    ranges = by_document(second_look(first_look(docs.select("doc", "text"), kinds[0]), kinds[0]))
+    for w in kinds[1:]:
+        ranges = by_document(second_look(first_look(with_ranges(docs, ranges), w), w))
+    return by_document(last_look(windows_of(with_ranges(docs, ranges), kinds[-1]), kinds[-1]))
 
 
 def covered(row: np.ndarray, start: np.ndarray, n: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
