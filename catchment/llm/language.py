@@ -53,35 +53,41 @@ def codewords(n: int) -> np.ndarray:
     return np.where(bits[:, (bits.min(0) < bits.max(0))], 1, -1).astype(np.int8)
 
 
-def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all byte trigrams of texts in lower case with a space at each end, and row offsets.
-
-    The last two places of a row, where none begins, are in the bucket BUCKETS.
-    """
+def trigrams(texts: pa.Array) -> tuple[Iterator[np.ndarray], np.ndarray]:
+    """Buckets of all byte trigrams of texts in lower case with a space at each end, in pieces of bounded size that
+    follow each other, and row offsets. The last two places of a row, where none begins, are in the bucket BUCKETS."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    space = pa.scalar("", pa.large_string())
-    data, offsets = flat(pc.binary_join_element_wise(space, texts, space, pa.scalar(" ", pa.large_string())))
-    low = LOWER[data].astype(np.uint32)
-    out = np.full(len(low), BUCKETS, np.uint32)
-    if len(low) > 2:
-        hashed = (low[:-2] * np.uint32(0x9E3779B1)) ^ (low[1:-1] * np.uint32(0x85EBCA77)) ^ (low[2:] * np.uint32(0xC2B2AE3D))
-        out[:-2] = (hashed * np.uint32(0x27D4EB2F)) >> np.uint32(18)
-        out[offsets[1:] - 1] = BUCKETS
-        out[offsets[1:] - 2] = BUCKETS
-    return out, offsets
+    none = pa.scalar("", pa.large_string())
+    data, offsets = flat(pc.binary_join_element_wise(none, texts, none, pa.scalar(" ", pa.large_string())))
+    ends = np.sort(np.concatenate([offsets[1:] - 2, offsets[1:] - 1]))
+
+    def pieces() -> Iterator[np.ndarray]:
+        for at in range(0, len(data), _STEP):
+            low = np.zeros(min(_STEP, len(data) - at) + 2, np.uint32)
+            part = data[at : at + len(low)]
+            low[: len(part)] = LOWER[part]
+            hashed = (low[:-2] * np.uint32(0x9E3779B1)) ^ (low[1:-1] * np.uint32(0x85EBCA77)) ^ (low[2:] * np.uint32(0xC2B2AE3D))
+            hashed *= np.uint32(0x27D4EB2F)
+            hashed >>= np.uint32(18)
+            first, last = np.searchsorted(ends, [at, at + len(hashed)])
+            hashed[ends[first:last] - at] = BUCKETS
+            yield hashed
+
+    return pieces(), offsets
 
 
 def margins(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     """Mean weight of each text's trigrams, by text and bit; zero without trigrams."""
-    buckets, offsets = trigrams(texts)
-    table = np.vstack([weights, np.zeros(weights.shape[1], weights.dtype)])
+    pieces, offsets = trigrams(texts)
+    table = np.vstack([weights, np.zeros((1, weights.shape[1]), weights.dtype)])
     sums = np.zeros((len(texts), weights.shape[1]))
-    for at in range(0, len(buckets), _STEP):
-        piece = buckets[at : at + _STEP]
+    at = 0
+    for piece in pieces:
         first = int(np.searchsorted(offsets, at, side="right")) - 1
         last = int(np.searchsorted(offsets, at + len(piece), side="left"))
         starts = np.maximum(offsets[first:last] - at, 0)
         sums[first:last] += np.add.reduceat(np.take(table, piece, axis=0), starts, axis=0)
+        at += len(piece)
     return sums / np.maximum(np.diff(offsets) - 2, 1)[:, None]
 
 
@@ -120,10 +126,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            buckets, offsets = trigrams(batch.column("text"))
             for i, name in enumerate(batch.column("lang").to_pylist()):
-                found = np.bincount(buckets[offsets[i] : offsets[i + 1]], minlength=BUCKETS + 1)[:BUCKETS]
-                totals[name] = totals[name] + found if name in totals else found
+                for piece in trigrams(batch.column("text").slice(i, 1))[0]:
+                    found = np.bincount(piece, minlength=BUCKETS + 1)[:BUCKETS]
+                    totals[name] = totals[name] + found if name in totals else found
         for name, found in totals.items():
             at = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array([number[name]] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(found[at], pa.int64())], names=["lang", "bucket", "n"])
