@@ -90,23 +90,15 @@ def population_wide(long: DataFrame, radii: tuple[int, ...] = (3, 5, 10)) -> Dat
 
 
 def radius_detail(pairs: DataFrame, tracts: DataFrame, census: DataFrame) -> DataFrame:
-    """Pairs with tract codes, and population where known, else 0."""
-    codes = tracts.select("geoid", "ce_tract", "state_fips", "county_fips")
-    return (
-        pairs.select("branch_id", "miles", "geoid")
-        .join(codes, "geoid")
-        .join(census.select("geoid", "population"), "geoid", "left")
-        .select(
-            "branch_id",
-            "miles",
-            "geoid",
-            "ce_tract",
-            "state_fips",
-            "county_fips",
-            F.coalesce("population", F.lit(0)).alias("population"),
-        )
-        .distinct()
-    )
+    """Pairs with tract codes, and population where known, else 0.
+
+    Pairs that carry population, as those of pairs_with_population do, are joined with the far smaller codes only.
+    """
+    codes = tracts.select("geoid", "ce_tract", "state_fips", "county_fips").distinct()
+    if "population" not in pairs.columns:
+        pairs = pairs.join(census_by_tract(census), "geoid", "left")
+    columns = ["branch_id", "miles", "geoid", "ce_tract", "state_fips", "county_fips"]
+    return pairs.join(codes, "geoid").select(*columns, F.coalesce("population", F.lit(0)).alias("population"))
 
 
 def branch_tracts(branches: DataFrame, tracts: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def inventory() -> dict[str, str]:
 def test_every_operator_is_proved():
     asked = inventory()
     assert len(asked) > 150
-    keys = {re.match(r"[a-z]+\d\d", name)[0]: name for name in queries()}
+    keys = {m[0]: name for name in queries() if (m := re.match(r"[a-z]+\d\d", name))}
     twins, tests = oracle_sql(), "\n".join(p.read_text() for p in (ROOT / "tests").glob("test_*.py"))
     for operator, proof in asked.items():
         name = keys.get(operator.replace("-", "").lower())
