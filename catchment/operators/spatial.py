@@ -20,6 +20,9 @@ AREA_CELL_DEG = 0.1
 CELLS_PER_AREA = 64
 COARSER_BY = 16
 
+# Sides this near to a cell are kept with it, well beyond the width that counts as a border.
+CLIP_DEG = 1e-6
+
 CELL = ["_level", "_row", "_col"]
 BOX = ["_west", "_east", "_south", "_north"]
 
@@ -155,6 +158,19 @@ def _listed(boxed: DataFrame, cell_deg: float) -> DataFrame:
     )
 
 
+def _clipped(listed: DataFrame, cell_deg: float) -> DataFrame:
+    """Each cell with only the sides that decide for points in it: those that meet the cell's height and do not end
+    left of it, as a ray is cast to the right. What is shuffled grows with the outline, not with cells times outline."""
+    side = _side(F.col("_level"), cell_deg)
+    south, west = F.col("_row") * side - CLIP_DEG, F.col("_col") * side - CLIP_DEG
+    north = (F.col("_row") + 1) * side + CLIP_DEG
+    meets = F.filter(
+        "_sides",
+        lambda e: (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north) & (F.greatest(e["x1"], e["x2"]) >= west),
+    )
+    return listed.withColumn("_sides", meets).filter(F.size("_sides") > 0)
+
+
 def _levels_in_use(boxed: DataFrame) -> list[int]:
     """At most four numbers, read from the polygon side only."""
     return sorted(row[0] for row in boxed.select("_level").distinct().collect())
@@ -180,7 +196,7 @@ def points_in_areas(
     boxed = _boxed(areas, cell_deg)
     levels = _levels_in_use(boxed) if levels is None else levels
     # Sides once per polygon, before it is listed in several cells.
-    sides = _listed(boxed.withColumn("_sides", polygon.edges(F.col("rings"))).drop("rings"), cell_deg)
+    sides = _clipped(_listed(boxed.withColumn("_sides", polygon.edges(F.col("rings"))).drop("rings"), cell_deg), cell_deg)
     x, y = F.col(lon), F.col(lat)
     level = F.lit((levels or [0])[0]) if len(levels) < 2 else F.explode(F.array(*[F.lit(v) for v in levels]))
     celled = points.withColumn("_level", level)
