@@ -37,6 +37,19 @@ class TableSpec:
     buckets: int = 64
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system a path names, and the class of its paths."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path_of(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path_of
+
+
+def _below(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none when there is no such folder."""
+    system, path_of = _files(spark, folder)
+    at = path_of(folder)
+    return [s.getPath().getName() for s in system.listStatus(at)] if system.exists(at) else []
+
+
 def _pointer(spark: SparkSession, path: str) -> tuple[int, int] | None:
     """Newest complete version and bucket count of a table; None when there is no table."""
     if not path_exists(spark, f"{path}/current"):
@@ -107,12 +120,32 @@ def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = No
         latest = newest_per_key(latest.unionByName(same_keys), key, modified)
     merged = upsert(before, latest, key, modified).withColumn("bucket", bucket)
     # Rows of a bucket come together for writing, but a large bucket is still split over tasks.
-    merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-        f"{path}/data/version={version + 1}"
-    )
+    # A folder of its own, beyond those of merges that failed or run beside this one; an existing one is never written to.
+    folder = 1 + max([version, *(int(n.split("=")[1]) for n in _below(spark, f"{path}/data") if n.startswith("version="))])
+    merged.hint("rebalance", "bucket").write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/data/version={folder}")
     if current_version(spark, path) != version:
         raise RuntimeError(f"another merge has moved {path} on; repeat this one")
-    _point_to(spark, path, version + 1, buckets, {**held, **{b: version + 1 for b in touched}})
+    _point_to(spark, path, version + 1, buckets, {**held, **{b: folder for b in touched}})
+
+
+def remove_old_versions(spark: SparkSession, path: str) -> int:
+    """Delete the buckets and manifests that the current version does not use; returns how many went.
+
+    Not part of a merge: frames read from an older version fail afterwards, so run it when none is in use.
+    """
+    version, _ = _pointer(spark, path)
+    held = _manifest(spark, path, version)
+    used, used_versions = {f"version={v}/bucket={b}" for b, v in held.items()}, {*held.values(), 0}
+    system, path_of = _files(spark, path)
+    old = [f"manifest/{name}" for name in _below(spark, f"{path}/manifest") if name != f"v{version}"]
+    for name in _below(spark, f"{path}/data"):
+        if name.startswith("version=") and int(name.split("=")[1]) <= max(used_versions):
+            buckets = [f"{name}/{b}" for b in _below(spark, f"{path}/data/{name}") if b.startswith("bucket=")]
+            stale = [b for b in buckets if b not in used]
+            old += [f"data/{name}"] if len(stale) == len(buckets) else [f"data/{b}" for b in stale]
+    for name in old:
+        system.delete(path_of(f"{path}/{name}"), True)
+    return len(old)
 
 
 # ---------------------------------------------------------------- sync state

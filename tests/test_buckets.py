@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from catchment.streaming import sync
 
 
@@ -22,3 +24,35 @@ def test_merge_rewrites_touched_buckets_only(spark, tmp_path, rows):
     assert rows(sync.read_current(spark, path).filter("id = 7")) == [(7, "seven", 2)]
     sync.merge_into(old, path, "id", "ts")
     assert rows(sync.read_current(spark, path).filter("id = 7")) == [(7, "older", 1)]
+
+
+def test_old_versions_go_and_rows_stay(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    for i in range(5):
+        sync.merge_into(spark.createDataFrame([(k, i, i) for k in range(i, 8)], "id int, v int, ts int"), path, "id", "ts", buckets=4)
+    before = rows(sync.read_current(spark, path))
+    assert sync.remove_old_versions(spark, path) > 0
+    assert rows(sync.read_current(spark, path)) == before == [(k, min(k, 4), min(k, 4)) for k in range(8)]
+    assert len(list((tmp_path / "t" / "manifest").iterdir())) == 1 and len(list((tmp_path / "t" / "data").glob("*/bucket=*"))) <= 4
+    assert sync.remove_old_versions(spark, path) == 0
+
+
+def test_a_merge_that_was_overtaken_fails(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, 1, 1)], "id int, v int, ts int")
+    sync.merge_into(first, path, "id", "ts", buckets=4)
+    upsert = sync.upsert
+
+    def overtaken(*args):
+        monkeypatch.setattr(sync, "upsert", upsert)
+        sync.merge_into(spark.createDataFrame([(2, 2, 2)], "id int, v int, ts int"), path, "id", "ts")
+        return upsert(*args)
+
+    monkeypatch.setattr(sync, "upsert", overtaken)
+    with pytest.raises(RuntimeError, match="another merge"):
+        sync.merge_into(spark.createDataFrame([(3, 3, 3)], "id int, v int, ts int"), path, "id", "ts")
+    assert rows_of(sync.read_current(spark, path)) == {1, 2}
+
+
+def rows_of(df):
+    return {r["id"] for r in df.collect()}

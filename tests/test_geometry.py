@@ -224,3 +224,18 @@ def test_vertices_continue_over_outlines(spark, rows):
 def test_points_and_their_parts(spark):
     df = spark.createDataFrame([("1.5", 2)], "a string, b int").select(geo.make_point(F.col("a"), F.col("b")).alias("p"))
     assert tuple(df.select(geo.x(F.col("p")), geo.y(F.col("p"))).first()) == (1.5, 2.0)
+
+
+def test_sides_shuffled_grow_with_vertices_not_with_cells(spark):
+    """A ring of n sides over some fifty cells: unclipped each cell would hold all of them."""
+
+    def kept(n: int) -> tuple[int, int]:
+        point = "struct(0.05 + 0.34 * cos(i * 2 * pi() / {0}) as lon, 0.05 + 0.34 * sin(i * 2 * pi() / {0}) as lat)".format(n)
+        ring = spark.range(1).selectExpr(f"array(transform(sequence(0, {n}), i -> {point})) as rings")
+        listed = spatial._listed(spatial._boxed(ring, 0.1).withColumn("_sides", polygon.edges(F.col("rings"))).drop("rings"), 0.1)
+        total = lambda df: df.selectExpr("sum(size(_sides))").first()[0]
+        return total(listed), total(spatial._clipped(listed, 0.1))
+
+    whole, clipped = kept(5000)
+    assert whole > 40 * 5000 and clipped < 6 * 5000
+    assert 8 < clipped / kept(500)[1] < 12
