@@ -22,8 +22,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from catchment.llm.buffers import giving_back
+
 #: Words whose ids a worker keeps for its later blocks. When it is full it is emptied, which costs time and no result.
-KEEP_WORDS = 300_000
+KEEP_WORDS = 200_000
 
 
 @lru_cache(maxsize=4)
@@ -200,6 +202,7 @@ def encode(text: Column | str, path: str, pattern: str) -> Column:
     """
 
     @arrow_udf("binary")
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path, pattern)
         for texts in batches:
@@ -220,6 +223,7 @@ def decode(ids: Column | str, path: str) -> Column:
     """The bytes that packed ids stand for. Null and empty give no bytes."""
 
     @arrow_udf("binary")
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = {i: t for t, i in load_ranks(path).items()}
         for packed in batches:

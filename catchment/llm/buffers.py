@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,6 +34,23 @@ def text_bytes(data: np.ndarray, offsets: np.ndarray, row: int) -> bytes:
     return data[offsets[row] : offsets[row + 1]].tobytes()
 
 
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task over batches that at its end returns freed memory to the system, as workers live on beside later stages."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (murmur3's), so that sums of products spread over all bits."""
     x = x ^ (x >> np.uint64(33))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catchment.llm import words
-from catchment.llm.buffers import flat, mix
+from catchment.llm.buffers import flat, giving_back, mix
 from catchment.llm.repeats import rolling
 
 #: Words of the shortest tile, which is also the seed, and the share of an item's words that tiles must cover.
@@ -58,6 +58,7 @@ def seeds(texts: pa.Array, tile: int = TILE) -> tuple[np.ndarray, np.ndarray, np
 def item_seeds(items: DataFrame, tile: int = TILE) -> DataFrame:
     """seed, item_id, at, n_words: the n-grams of each item. Items without text or with fewer words have none."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, at, hashed, n = seeds(batch.column("text"), tile)
@@ -127,6 +128,7 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least:
     wanted = item_seeds(items, least)
     passes = _filter(wanted, filter_bits)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, at, hashed, _ = seeds(batch.column("text"), least)
@@ -139,6 +141,7 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE, least:
     shared = lowered.mapInArrow(run, "seed long, doc_id long, text_hash long, place int").join(wanted, "seed")
     pairs = shared.groupBy("doc_id", "text_hash", "item_id").agg(F.max("n_words").alias("n_words"), F.collect_set(F.struct("place", "at")).alias("hits"))
 
+    @giving_back
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, rows = [], []

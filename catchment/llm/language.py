@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from catchment.llm.buffers import LOWER, flat
+from catchment.llm.buffers import LOWER, flat, giving_back
 
 #: Training documents of each language, as expected number: half for the classifiers, half for the weights of bits.
 SAMPLE = 3000
@@ -123,6 +123,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
     number = {name: i for i, name in enumerate(languages)}
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -146,6 +147,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     if not code.shape[1]:
         return Model(languages, code, weights, np.zeros(0), np.zeros((len(languages), 0)))
 
+    @giving_back
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = margins(batch.column("text"), weights)
@@ -167,6 +169,7 @@ def identify(text: str, model: Model) -> Column:
     """Language, score and ambiguity of a text column as a struct; `und`, 0 and false for a null or without a letter."""
 
     @arrow_udf("struct<lang:string,score:double,ambiguous:boolean>")
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             best, score, close = decode(model, margins(texts, model.weights))

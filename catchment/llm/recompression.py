@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catchment.llm import words
-from catchment.llm.buffers import flat, mix
+from catchment.llm.buffers import flat, giving_back, mix
 from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges, with_ranges
 
 #: Words of a passage that counts as repeated.
@@ -100,6 +100,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     ranges = repeated_ranges(named, w)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat(batch.column("text"))

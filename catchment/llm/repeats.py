@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catchment.llm.buffers import flat, mix
+from catchment.llm.buffers import flat, giving_back, mix
 from catchment.llm.groups import whole_groups
 
 #: Units looked at at once, and bytes of text whose segments are settled together. They bound memory, not results.
@@ -186,6 +186,7 @@ def first_look(docs: DataFrame, w: Windows) -> DataFrame:
     windows only, beside those known to be repeated."""
     restricted = "ranges" in docs.columns
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -248,6 +249,7 @@ def _known(batch: pa.RecordBatch) -> pa.RecordBatch:
 def second_look(rows: DataFrame, w: Windows) -> DataFrame:
     """doc, start, n, kind: ranges of windows that are REPEATED or ASKED for one by one."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "key"):
             key, name, doc, start, n, kind = (c.to_numpy() for c in table.columns)
@@ -296,6 +298,7 @@ def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 def windows_of(docs: DataFrame, w: Windows) -> DataFrame:
     """Rows of ROW, from doc, text and ranges: the asked windows by two hashes, and what is repeated already."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -328,6 +331,7 @@ def _windows(one: np.ndarray, two: np.ndarray, doc: np.ndarray, start: np.ndarra
 def last_look(rows: DataFrame, w: Windows) -> DataFrame:
     """doc, start, n, kind of all ranges of repeated windows."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "key"):
             key, name, doc, start, n, kind = (c.to_numpy() for c in table.columns)

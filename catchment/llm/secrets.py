@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from catchment.llm.buffers import LOWER, flat, text_bytes
+from catchment.llm.buffers import LOWER, flat, giving_back, text_bytes
 
 # Fixed patterns of the base kinds, with the least length of what must be long.
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -140,6 +140,7 @@ def scan(text: Column | str) -> Column:
     """Spans of a text column. A null or empty text has none; overlapping kinds are all listed."""
 
     @arrow_udf(SPANS)
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield from map(spans_of, batches)
 
@@ -150,6 +151,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows as they are, with every secret in `text` replaced by a mark. A null text stays null."""
 
     @arrow_udf("string")
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             out = texts.to_pylist()

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from catchment.llm.buffers import flat
+from catchment.llm.buffers import flat, giving_back
 from catchment.llm.components import components, stored
 from catchment.llm.groups import whole_groups
 from catchment.session import shared_dir
@@ -64,6 +64,7 @@ def fingerprints(text: Column | str, words: int = SHINGLE_WORDS) -> Column:
     """Fingerprints of a text column as signed longs. A null text has no words."""
 
     @arrow_udf("long")
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             data, offsets = flat(texts)
@@ -128,6 +129,7 @@ def links(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     keyed = distinct.select(F.explode(variants("fp", most_bits)).alias("key"), "fp")
     dealt = keyed.repartition("key").sortWithinPartitions("key", "fp")
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "key"):
             u, v = link_groups(table.column("key").to_numpy(), table.column("fp").to_numpy(), most_bits)

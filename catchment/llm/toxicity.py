@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from catchment.llm.buffers import giving_back
+
 #: Labelled documents to learn from, as expected number: three quarters for log-odds, one for calibration.
 SAMPLE = 24_000
 #: Characters of the beginnings that stand for words not seen, longest first, and training documents a token must be in.
@@ -30,6 +32,8 @@ PRIOR = 3.0
 #: Standard errors from zero at which log-odds are significant, and the least log-odds that score.
 SIGNIFICANT = 2.7
 LEAST_ODDS = 1.0
+#: Documents whose tokens are counted together before Spark adds counts up.
+COUNTED = 256
 #: What any other token takes from a segment.
 DRIFT = 0.05
 #: p-value at which a segment counts.
@@ -118,8 +122,9 @@ def _weights(sample: DataFrame) -> dict[str, float]:
     """Significant tokens with their log-odds, and the seen tokens that share their first four characters, at zero or
     their own log-odds: these keep a known word from being taken for its beginning."""
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, COUNTED) for b in batches for i in range(0, b.num_rows, COUNTED)):
             both = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 both[toxic].update({t for word in set(WORD.findall(text.lower())) for t in tokens_of(word)})
@@ -190,6 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     weights = _weights(texts.where(for_odds).select("text", "toxic"))
     heads = Model(weights).heads()
 
+    @giving_back
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [events(t, weights, heads) for t in batch.column("text").to_pylist()]
@@ -219,6 +225,7 @@ def score(text: Column | str, model: Model) -> Column:
     """Score from 0 to 1 of a text column; a null text is an empty one."""
 
     @arrow_udf("double")
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         heads = model.heads()
         for texts in batches:
@@ -231,6 +238,7 @@ def passages(text: Column | str, model: Model) -> Column:
     """Toxic passages of a text column: first and last word (counted from 0), score and p-value of each that counts."""
 
     @arrow_udf("array<struct<first:int,last:int,score:double,p:double>>")
+    @giving_back
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         heads = model.heads()
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("p", pa.float64())]))
