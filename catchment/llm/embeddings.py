@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catchment.llm.buffers import giving_back
 from catchment.llm.components import components, stored
 from catchment.llm.groups import whole_groups
 from catchment.session import shared_dir
@@ -27,8 +28,8 @@ LEAST_COSINE = 0.95
 BLOCK_DIMS = 16
 #: Vectors at home in a cell, on average: the number of cells grows with the vectors.
 CELL = 4096
-#: Rows that are compared in one task at most; larger cells are dealt into pairs of parts.
-PART = 12_288
+#: Vector components that are compared in one task at most; larger cells are dealt into pairs of parts.
+PART_VALUES = 1 << 21
 #: Vectors that the cells' borders, medians of coordinates, are taken from.
 SAMPLE = 4096
 
@@ -132,7 +133,9 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE) -> D
     """
     spark = vectors.sparkSession
     at = f"{shared_dir(spark)}/embeddings-{uuid.uuid4()}"
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    single = dict(vectors.dtypes)["embedding"] == "array<float>"
+    kind = "array<float>" if single else "array<double>"
+    rows = vectors.select("vec_id", F.col("embedding").cast(kind).alias("embedding"))
     sound = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0)
     rows = rows.withColumn("embedding", F.when(F.coalesce(sound, F.lit(False)), F.col("embedding")))
     distinct = rows.where("embedding is not null").groupBy("embedding").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
@@ -145,6 +148,7 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE) -> D
         borders.setdefault(len(vector), []).append(vector)
     borders = {n: np.median(turned(np.array(v, float)), 0) for n, v in borders.items()}
 
+    @giving_back
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = batch.column("dims").to_numpy()
@@ -157,9 +161,10 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE) -> D
                     columns = [pa.array(key.astype(np.int64)), pa.array(home), *(part.column(c).take(index) for c in ("node", "copies", "embedding"))]
                     yield pa.RecordBatch.from_arrays(columns, names=["cell", "home", "node", "copies", "embedding"])
 
-    placed = distinct.mapInArrow(assign, "cell long, home boolean, node long, copies long, embedding array<double>")
-    placed = stored(placed, f"{at}/placed")
-    large = placed.groupBy("cell").count().select("cell", F.ceil(F.col("count") * 2 / PART).cast("int").alias("parts")).where("parts > 2")
+    placed = distinct.mapInArrow(assign, f"cell long, home boolean, node long, copies long, embedding {kind}")
+    # Cells are found again for the join with their sizes: that is cheaper than keeping every vector once for each cell.
+    values = placed.groupBy("cell").agg(F.sum(F.size("embedding").cast("long")).alias("values"))
+    large = values.select("cell", F.ceil(F.col("values") * 2 / PART_VALUES).cast("int").alias("parts")).where("parts > 2")
     dealt = placed.join(large, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -167,6 +172,7 @@ def near_duplicates(vectors: DataFrame, least_cosine: float = LEAST_COSINE) -> D
     dealt = dealt.select(F.col("cell").bitwiseOR(pair).alias("key"), F.col("mine").cast("int").alias("mine"), "home", "node", "copies", "embedding")
     dealt = dealt.repartition("key").sortWithinPartitions("key", "node")
 
+    @giving_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "key"):
             keys = table.column("key").to_numpy()

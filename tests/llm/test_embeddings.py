@@ -45,10 +45,10 @@ def brute(data):
     return sorted((r[0], int(near[i].sum()), label[i], r[0] == label[i]) for i, r in enumerate(data))
 
 
-@pytest.mark.parametrize("seed,dims,cell,part", [(1, 64, 4096, 12288), (2, 24, 20, 12288), (3, 64, 8, 30), (4, 5, 10, 20)])
+@pytest.mark.parametrize("seed,dims,cell,part", [(1, 64, 4096, 1 << 21), (2, 24, 20, 1 << 21), (3, 64, 8, 2000), (4, 5, 10, 100)])
 def test_against_all_pairs(spark, monkeypatch, seed, dims, cell, part):
     monkeypatch.setattr(e, "CELL", cell)
-    monkeypatch.setattr(e, "PART", part)
+    monkeypatch.setattr(e, "PART_VALUES", part)
     data = rows(seed, dims)
     got = e.near_duplicates(spark.createDataFrame(data, SCHEMA)).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == brute(data)
