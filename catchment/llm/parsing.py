@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catchment.llm.buffers import flat
+from catchment.llm.buffers import flat, giving_back
 from catchment.llm.repeats import LAST, Windows, _lists, covered, repeated_ranges, rolling, with_ranges
 from catchment.llm.words import BYTES
 
 #: Bytes of a string that counts as repeated, and bytes of the rolling hash: for all text, and for what that leaves open.
 LENGTH = 100
-TRIGGERS = (32, 80)
+TRIGGERS = (24, 64, 88)
 
 
 def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,6 +53,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, triggers: tuple[int, .
     named = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     ranges = repeated_ranges(named, *(windows(length, t) for t in triggers))
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat(batch.column("text"))

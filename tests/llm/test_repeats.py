@@ -106,7 +106,7 @@ def test_in_one_process(monkeypatch, seed, block, chunk, kind):
     monkeypatch.setattr(repeats, "CHUNK", chunk)
     rows = [r for r in corpus(random.Random(seed), 6) if r[0] is not None]
     rows = sorted(set(rows), key=str)
-    kinds = [parsing.windows(100, 32), parsing.windows(100, 80)] if kind == "bytes" else [recompression.windows()]
+    kinds = [parsing.windows(100, t) for t in parsing.TRIGGERS] if kind == "bytes" else [recompression.windows()]
     run = Local(rows)
     asked = run.docs
     for w in kinds:
