@@ -30,7 +30,7 @@ WINDOW = 20
 LEAST_BITS = {"hex": 3.0, "alnum": 3.6, "base64": 3.8}
 #: Candidates that are never secrets: placeholders, one character repeated, identifiers made of words.
 ALLOWED = re.compile(
-    r"(?i:example|sample|placeholder|changeme|dummy|your[_-])|^(.)\1*$|^[A-Za-z]+([_/+=-]+[A-Za-z]*)*$|^[0-9_/+=-]*$"
+    r"(?i:example|sample|placeholder|changeme|dummy|your[_-])|^(.)\1*$|^[A-Za-z][A-Za-z_/+=-]*$|^[0-9_/+=-]*$"
 )
 
 _KEYWORDS = (b"passw", b"secret", b"token", b"api", b"akia")
