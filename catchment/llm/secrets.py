@@ -33,6 +33,12 @@ ALLOWED = re.compile(
     r"(?i:example|sample|placeholder|changeme|dummy|your[_-])|^(.)\1*$|^[A-Za-z][A-Za-z_/+=-]*$|^[0-9_/+=-]*$"
 )
 
+#: Within a candidate: words, which separators join to names or to each other, those that mark a placeholder, and
+#: upper-case hex, which has no base kind.
+WORD = re.compile(r"[A-Za-z0-9]+")
+PLACEHOLDER = re.compile(r"(?i:example|sample|placeholder|changeme|dummy)")
+UPPER_HEX = re.compile(rf"[0-9A-F]{{{WINDOW},}}")
+
 _KEYWORDS = (b"passw", b"secret", b"token", b"api", b"akia")
 _IS_HEX = np.zeros(256, bool)
 _IS_HEX[[*b"0123456789abcdef"]] = True
@@ -81,6 +87,36 @@ def entropy_spans(candidate: str, window: int = WINDOW, least: dict[str, float]
     return out
 
 
+def values(candidate: str) -> Iterator[tuple[int, str]]:
+    """Place and text of all that a secret in a candidate may be: each is classed and checked against the allow-list alone.
+
+    These are the stretches between words that mark a placeholder, the words in them, and the upper-case hex in those.
+    So a name beside a secret changes neither its bound nor whether it counts, and a secret with separators stays whole.
+    """
+    at, words = 0, [m.span() for m in WORD.finditer(candidate)]
+    for start, end in [*words, (len(candidate), len(candidate))]:
+        word = candidate[start:end]
+        yours = word[-4:].lower() == "your" and candidate[end : end + 1] in ("_", "-")
+        if yours or start == len(candidate) or PLACEHOLDER.search(word):
+            yield at, candidate[at:start]
+            at = end + (end < len(candidate))  # without the separator that joins them
+        elif len(word) >= WINDOW:
+            yield start, word
+            yield from ((start + m.start(), m[0]) for m in UPPER_HEX.finditer(word))
+
+
+def candidate_spans(candidate: str) -> list[tuple[int, int]]:
+    """Merged spans of all values of a candidate."""
+    found = {(at + start, at + end) for at, value in set(values(candidate)) for start, end in entropy_spans(value)}
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(found):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """All spans of one text in code points, end exclusive, by start and then by kind as listed."""
     spans = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[1]) >= ASSIGN_VALUE]
@@ -88,7 +124,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     spans += [("hex", *m.span()) for m in HEX.finditer(text) if len(m[0]) >= HEX_CHARS]
     base = list(spans)
     for m in CANDIDATE.finditer(text):
-        for start, end in entropy_spans(m[0]):
+        for start, end in candidate_spans(m[0]):
             start, end = m.start() + start, m.start() + end
             if not any(a <= start and end <= b for _, a, b in base):
                 spans.append(("entropy", start, end))
