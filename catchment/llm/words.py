@@ -23,8 +23,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(power), np.cumprod(back)
 
 
-def bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of all rows; inside: which bytes belong to words."""
+def bounds(inside: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all rows; inside: which bytes belong to words; cuts: places where one ends at the latest."""
     firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
@@ -32,6 +32,10 @@ def bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
     ends[firsts[1:] - 1] = inside[firsts[1:] - 1]
+    if cuts is not None and len(cuts):
+        starts[cuts] = inside[cuts]
+        before = cuts[cuts > 0] - 1
+        ends[before] = inside[before]
     return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
 

@@ -80,3 +80,15 @@ def test_clean_keeps_columns_and_clean_rows(spark):
     left = d.clean(docs, items)
     assert left.columns == docs.columns and sorted(r.item_id for r in left.collect()) == ["w", "z"]
     assert d.clean(docs, items.limit(0)).count() == 4 and d.leaks(docs.limit(0), items).count() == 0
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "Paris"), (2, "forty-two apples!"), (3, "水は何度で沸騰しますか。"), (4, "中国的首都是哪里?"), (5, "เมืองหลวงของไทย"), (6, "…"), (7, "a b c d")]
+    docs = [(1, "In paris, PARIS is home."), (2, "Forty two, apples"), (3, "forty apples two"), (4, "問い：水は何度で沸騰しますか、という。"), (5, "问题，中国的首都、是哪里")]
+    docs += [(6, "x เมืองหลวงของไทย y"), (7, "水は沸騰"), (8, "parisian"), (9, None), (10, "a b c x d"), (11, "Ｐａｒｉｓ。parís"), (12, "日本paris語")]
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} long, text string")
+    got = {(r.doc_id, r.item_id): (r.coverage, r.n_tiles) for r in d.leaks(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    assert set(got) == {(1, 1), (2, 2), (4, 3), (5, 4), (6, 5), (12, 1)}
+    assert got[1, 1] == got[2, 2] == got[4, 3] == (1.0, 1)
+    # A second item, of one kind of words with a longer one, changes nothing for it.
+    assert {(r.doc_id, r.item_id) for r in d.leaks(frame(docs, "doc_id"), frame(items[:2] + [(8, "问题 中国 的首 都是")], "item_id")).collect()} == {(1, 1), (12, 1), (2, 2), (5, 8)}
