@@ -9,7 +9,7 @@ candidates together, and all 64 bits decide.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -145,12 +145,17 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int
     linked like any other. A null doc_id is never a component's id unless no row of the component has one. Only doc_id
     and text are read; repeated rows come out as often as they went in; an empty table gives no rows.
     """
+    return grouped(docs, words, most_bits).select("doc_id", "fp", "component_id")
+
+
+def grouped(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS, also: Sequence[Column] = ()) -> DataFrame:
+    """As near_duplicates, with the root and the columns `also` of docs: only the root tells components apart that rows of one doc_id name."""
     at = f"{shared_dir(docs.sparkSession)}/simhash-{uuid.uuid4()}"
-    prints = stored(docs.select("doc_id", fingerprints(F.col("text"), words).alias("fp")), f"{at}/prints")
+    prints = stored(docs.select("doc_id", fingerprints(F.col("text"), words).alias("fp"), *also), f"{at}/prints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     rooted = components(links(distinct.select("fp"), most_bits))
     labelled = distinct.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     labelled = stored(labelled, f"{at}/labelled")
     least = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_print = labelled.join(least, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+    of_print = labelled.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(of_print, "fp")

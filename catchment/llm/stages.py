@@ -20,11 +20,13 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least doc_id stays; of several rows with that id one."""
-    near = simhash.near_duplicates(docs)
-    first = near.where("doc_id = component_id").select("doc_id").distinct()
-    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(same_id)).where("_copy = 1").drop("_copy")
+    """Of each group of near-duplicates one row stays: of the least doc_id, and of its texts in the group the one of least hash."""
+    text_hash = F.xxhash64("text").alias("_hash")
+    near = simhash.grouped(docs, also=[text_hash]).where("doc_id is not null")
+    first = near.groupBy("root").agg(F.min(F.struct("doc_id", "_hash")).alias("first")).select("first.*")
+    copies = Window.partitionBy("doc_id", "_hash").orderBy(F.xxhash64(*[c for c in docs.columns if c != "text"]))
+    kept = docs.withColumn("_hash", text_hash).join(first, ["doc_id", "_hash"], "left_semi")
+    kept = kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy", "_hash")
     return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 

@@ -57,3 +57,14 @@ def test_every_stage_takes_odd_rows(spark, odd):
     assert sorted((r.doc_id for r in stages.simhash_dedup(spark, odd, SF).collect()), key=str) == [1, 3, 5, None, None]
     clean = {r.doc_id: (r.text, r.n_chars) for r in stages.secret_scan(spark, odd, SF).collect()}
     assert clean[5] == ("<ASSIGN>'", 9) and clean[1] == (None, None)
+
+
+def test_rows_that_share_an_id(spark):
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(40))
+    rows = [(8, text(100)), (8, text(101)), (8, text(101))]  # far texts of one id, each alone in its group
+    want = [(8, text(100)), (8, text(101))]
+    for n in range(0, 40, 4):  # the group of the first text has a smaller id, the second text stands for its own
+        rows += [(n + 200, text(n)), (n + 203, text(n)), (n + 203, text(n + 1)), (n + 300, text(n + 1))]
+        want += [(n + 200, text(n)), (n + 203, text(n + 1))]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r.doc_id, r.text) for r in stages.simhash_dedup(spark, docs, SF).collect()) == sorted(want)
