@@ -149,7 +149,7 @@ def _suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         at, found = low.find(word), []
         while at >= 0:
             found.append(at)
-            at = low.find(word, at + len(word))
+            at = low.find(word, at + 1)  # a hit across two rows may overlap the next
         hits.append(np.array(found, np.int64))
     return np.unique(np.searchsorted(offsets, np.concatenate(hits), side="right") - 1)
 

@@ -11,6 +11,7 @@ from collections import Counter
 from math import log2
 from pathlib import Path
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -106,6 +107,13 @@ def test_query_and_redaction(spark, tmp_path):
         assert row.text is None or not secrets.find(row.text)
 
 
+def test_rows_of_a_batch_do_not_touch_each_other():
+    key = "AKIA" + "Z9" * 7
+    for before in ("", "aki", "see aki", "AKI", "akia", "passwaki"):
+        got = secrets.spans_of(pa.array([before, key, before, f"{key} x"])).to_pylist()
+        assert [[tuple(s.values()) for s in row] for row in got] == [[], [("access", 0, 18)], [], [("access", 0, 18)]]
+
+
 def test_redacting_overlaps():
     text = 'x token="0123456789abcdef0123" y'
     assert secrets.redact_text(text, secrets.find(text)) == 'x <ASSIGN>" y'
