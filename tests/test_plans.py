@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from catchment.operators import skew, upsert
+from checks import all_checks
 from checks.views import Views
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,6 +19,11 @@ PYTHON_QUERIES = {
 }
 
 
+def queries():
+    """The library's own queries; the training-data subpackage tests its plans in tests/llm."""
+    return all_checks()[0]
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
