@@ -107,5 +107,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op9_embeddings, op10_toxicity)}
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from catchment.llm import pieces
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", pieces.encode("text", public_tokenizers.path("piece_bpe_32k.model")).alias("enc"))
+    ids_text = F.concat_ws(",", F.transform("enc.ids", lambda i: i.cast("string")))
+    return docs.select(
+        "doc_id",
+        F.size("enc.ids").cast("long").alias("n_tokens"),
+        F.sha2(ids_text.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("enc.decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.col("enc.agrees").alias("library_agrees"),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_decontamination, op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op9_embeddings, op10_toxicity, op13_pieces)
+}
 SQL: dict[str, str] = {}
