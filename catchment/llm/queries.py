@@ -107,6 +107,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", components=32)
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -125,6 +131,6 @@ def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op9_embeddings, op10_toxicity, op13_pieces)
+    for f in (op1_decontamination, op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op9_embeddings, op10_toxicity, op12_whitening, op13_pieces)
 }
 SQL: dict[str, str] = {}
