@@ -15,6 +15,7 @@ import heapq
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +26,14 @@ SPACE = "▁"
 
 OUT = "struct<ids: array<int>, decoded: string, agrees: boolean>"
 
+#: Characters of text in Python at once; a longer text is a slice of its own.
+SLICE_CHARS = 4_000_000
+
+#: Stretches whose ids a worker keeps for its later batches; when there are more it forgets them all, which costs
+#: time and no result.
+KEEP_STRETCHES = 400_000
+SEEN: dict[str, tuple[int, ...]] = {}
+
 
 class Model:
     """Pieces of a merge-type model with their ids and scores, and what its normaliser does."""
@@ -68,33 +77,34 @@ class Model:
         n = len(symbols)
         if not n:
             return []
+        score, push, pop = self.score.get, heapq.heappush, heapq.heappop
         prev, nxt = list(range(-1, n - 1)), list(range(1, n + 1))
         nxt[-1] = -1
         agenda: list[tuple[float, int, str, str]] = []
-
-        def offer(left: int, right: int) -> None:
-            if left < 0 or right < 0:
-                return
-            joined = symbols[left] + symbols[right]
-            score = self.score.get(joined)
-            if score is not None:
-                heapq.heappush(agenda, (-score, left, symbols[left], symbols[right]))
-
         for i in range(n - 1):
-            offer(i, i + 1)
+            found = score(symbols[i] + symbols[i + 1])
+            if found is not None:
+                agenda.append((-found, i, symbols[i], symbols[i + 1]))
+        heapq.heapify(agenda)
         while agenda:
-            _, left, a, b = heapq.heappop(agenda)
+            _, left, a, b = pop(agenda)
             right = nxt[left]
             # Skip entries whose symbols have changed since they were offered.
             if right < 0 or symbols[left] != a or symbols[right] != b:
                 continue
-            symbols[left] = a + b
+            joined = symbols[left] = a + b
             symbols[right] = ""
-            nxt[left] = nxt[right]
-            if nxt[right] >= 0:
-                prev[nxt[right]] = left
-            offer(prev[left], left)
-            offer(left, nxt[left])
+            after = nxt[left] = nxt[right]
+            before = prev[left]
+            if after >= 0:
+                prev[after] = left
+                found = score(joined + symbols[after])
+                if found is not None:
+                    push(agenda, (-found, left, joined, symbols[after]))
+            if before >= 0:
+                found = score(symbols[before] + joined)
+                if found is not None:
+                    push(agenda, (-found, before, symbols[before], joined))
         out: list[int] = []
         i = 0
         while i >= 0:
@@ -109,7 +119,7 @@ class Model:
             i = nxt[i]
         return out
 
-    def encode(self, text: str | None, seen: dict[str, list[int]] | None = None) -> list[int]:
+    def encode(self, text: str | None, seen: dict[str, tuple[int, ...]] | None = None) -> list[int]:
         """Ids of a whole text; `seen` keeps the stretches of a batch already encoded."""
         normal = self.normalise(text or "")
         if not self.cuts:
@@ -119,7 +129,7 @@ class Model:
         for stretch in regex.split(f"(?<=[^{SPACE}])(?={SPACE})", normal):
             ids = seen.get(stretch)
             if ids is None:
-                ids = seen[stretch] = self.merge(stretch)
+                ids = seen[stretch] = tuple(self.merge(stretch))
             out.extend(ids)
         return out
 
@@ -130,19 +140,31 @@ def load(path: str) -> Model:
 
 
 def encode(text: str | Column, path: str) -> Column:
-    """A struct of ids (the agenda's), the library's decoding of them, and whether the library encodes alike."""
+    """A struct of ids (the agenda's), the library's decoding of them, and whether the library encodes alike.
+
+    A batch is worked through in slices of at most SLICE_CHARS characters, so that Python lists never hold more
+    than one slice; the stretches already encoded are kept by the worker for its later slices and batches.
+    """
 
     @arrow_udf(OUT)
     def run(texts: pa.Array) -> pa.Array:
         model = load(path)
-        values = [t or "" for t in texts.to_pylist()]
-        seen: dict[str, list[int]] = {}
-        ids = [model.encode(t, seen) for t in values]
-        library = model.library.encode(values, num_threads=1)
-        decoded = model.library.decode(ids)
-        agrees = [a == b for a, b in zip(ids, library)]
-        return pa.StructArray.from_arrays(
-            [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())], ["ids", "decoded", "agrees"]
-        )
+        parts, start = [], 0
+        lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False) if len(texts) else []
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and (end == start or size + lengths[end] <= SLICE_CHARS):
+                size += lengths[end]
+                end += 1
+            values = [t or "" for t in texts.slice(start, end - start).to_pylist()]
+            if len(SEEN) > KEEP_STRETCHES:
+                SEEN.clear()
+            ids = [model.encode(t, SEEN) for t in values]
+            agrees = [a == b for a, b in zip(ids, model.library.encode(values, num_threads=1))]
+            parts.append(pa.StructArray.from_arrays(
+                [pa.array(ids, pa.list_(pa.int32())), pa.array(model.library.decode(ids), pa.string()), pa.array(agrees, pa.bool_())], ["ids", "decoded", "agrees"]
+            ))
+            start = end
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string()), ("agrees", pa.bool_())]))
 
     return run(F.col(text) if isinstance(text, str) else text)
