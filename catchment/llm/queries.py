@@ -107,6 +107,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catchment.llm import negatives
+
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    rows, d = negatives.prepared(moved, "embedding", "vec_id", "label", scale=256)
+    return negatives.mine(rows, rows.where(F.col("key") % 100 == 0), d, positives=5, negatives=5)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catchment.llm import whitening
 
@@ -131,6 +140,6 @@ def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op9_embeddings, op10_toxicity, op12_whitening, op13_pieces)
+    for f in (op1_decontamination, op2_language, op3_bpe, op4_simhash, op5_parsing, op6_sharding, op7_secrets, op8_recompression, op9_embeddings, op10_toxicity, op11_negatives, op12_whitening, op13_pieces)
 }
 SQL: dict[str, str] = {}
