@@ -1,9 +1,9 @@
-"""Incremental sync into versioned Parquet tables that are split into hash buckets of the key.
+"""Incremental sync into Parquet tables split into hash buckets of the key, committed by Spark itself.
 
-A table is a folder: ``data/version=<n>/bucket=<b>`` datasets, ``manifest/v<n>`` naming the version that
-holds each bucket, and ``current`` with the newest complete version. A merge reads and rewrites only the
-buckets its keys fall in, under a new version, and moves ``current`` last: a failed or repeated run never
-harms what readers see, and a small change does not rewrite a large table.
+A table is a folder: ``schema`` (an empty Parquet file under the table's columns) and ``data``, partitioned by
+``bucket``. A merge reads only the buckets its keys fall in (partition pruning), stages the merged rows in the shared
+folder, and writes them back with dynamic partition overwrite: Spark's file commit replaces exactly the touched
+buckets and leaves the others as they are. The table is plain partitioned Parquet that any reader understands.
 """
 
 from __future__ import annotations
@@ -20,9 +20,6 @@ from catchment.schemas import SYNC_STATE
 from catchment.session import reuse, shared_dir
 from catchment.sources.readers import path_exists
 
-POINTER = "version bigint, buckets int"
-MANIFEST = "bucket int, data_version bigint"
-
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -37,62 +34,29 @@ class TableSpec:
     buckets: int = 64
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system a path names, and the class of its paths."""
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return path_of(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path_of
-
-
-def _below(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, none when there is no such folder."""
-    system, path_of = _files(spark, folder)
-    at = path_of(folder)
-    return [s.getPath().getName() for s in system.listStatus(at)] if system.exists(at) else []
+def bucket_of(key: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
-def _pointer(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """Newest complete version and bucket count of a table; None when there is no table."""
-    if not path_exists(spark, f"{path}/current"):
+def read_current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows a table holds, without the bucket column; None when there is no table."""
+    if not path_exists(spark, f"{path}/schema"):
         return None
-    newest = spark.read.schema(POINTER).json(f"{path}/current").agg(F.max(F.struct("version", "buckets")).alias("p"))
-    found = newest.select("p.*").first()
-    return found["version"], found["buckets"]
-
-
-def current_version(spark: SparkSession, path: str) -> int | None:
-    found = _pointer(spark, path)
-    return None if found is None else found[0]
-
-
-def _manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
-    """Bucket to the version that holds it: one row per bucket, a number fixed with the table."""
-    rows = spark.read.schema(MANIFEST).json(f"{path}/manifest/v{version}").collect()
-    return {r["bucket"]: r["data_version"] for r in rows}
-
-
-def _point_to(spark: SparkSession, path: str, version: int, buckets: int, held: dict[int, int]) -> None:
-    spark.createDataFrame(list(held.items()), MANIFEST).coalesce(1).write.mode("overwrite").json(f"{path}/manifest/v{version}")
-    spark.createDataFrame([(version, buckets)], POINTER).write.mode("append").json(f"{path}/current")
-
-
-def _read(spark: SparkSession, path: str, held: dict[int, int]) -> DataFrame:
     schema = spark.read.parquet(f"{path}/schema").schema
-    if not held:
+    if not path_exists(spark, f"{path}/data"):
         return spark.createDataFrame([], schema)
-    folders = [f"{path}/data/version={version}/bucket={bucket}" for bucket, version in sorted(held.items())]
-    return spark.read.schema(schema).parquet(*folders)
-
-
-def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    version = current_version(spark, path)
-    return None if version is None else _read(spark, path, _manifest(spark, path, version))
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(f"{path}/data").drop("bucket")
 
 
 def ensure_target(spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64) -> None:
-    """An empty first version under the staged schema, if the table does not exist."""
-    if current_version(spark, path) is None:
+    """An empty table under the staged schema, if there is none; its bucket count is fixed from then on."""
+    if not path_exists(spark, f"{path}/schema"):
+        spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(f"{path}/buckets")
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/schema")
-        _point_to(spark, path, 0, buckets, {})
+
+
+def bucket_count(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(f"{path}/buckets").first()["buckets"]
 
 
 def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = None, buckets: int = 64, newer_only: bool = False) -> None:
@@ -107,45 +71,23 @@ def merge_into(staged: DataFrame, path: str, key: str, modified: str | None = No
     if latest.isEmpty():
         return
     ensure_target(spark, path, staged.schema, buckets)
-    version, buckets = _pointer(spark, path)
-    held = _manifest(spark, path, version)
     known = spark.read.parquet(f"{path}/schema").columns
     if new := [c for c in latest.columns if c not in known]:
         raise ValueError(f"the table has no column {', '.join(new)}")
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-    touched = [r[0] for r in latest.select(bucket.alias("b")).distinct().collect()]
-    before = _read(spark, path, {b: v for b, v in held.items() if b in touched})
+    bucket = bucket_of(key, bucket_count(spark, path))
+    touched = [r[0] for r in latest.select(bucket.alias("b")).distinct().collect()]  # at most one value per bucket
+    before = read_current(spark, path)
+    if path_exists(spark, f"{path}/data"):
+        # Partition pruning: only the touched buckets' files are read.
+        schema = spark.read.parquet(f"{path}/schema").schema
+        before = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(f"{path}/data").where(F.col("bucket").isin(touched)).drop("bucket")
     if newer_only:
         same_keys = before.join(latest.select(key), key, "left_semi").select(*latest.columns)
         latest = newest_per_key(latest.unionByName(same_keys), key, modified)
-    merged = upsert(before, latest, key, modified).withColumn("bucket", bucket)
-    # Rows of a bucket come together for writing, but a large bucket is still split over tasks.
-    # A folder of its own, beyond those of merges that failed or run beside this one; an existing one is never written to.
-    folder = 1 + max([version, *(int(n.split("=")[1]) for n in _below(spark, f"{path}/data") if n.startswith("version="))])
-    merged.hint("rebalance", "bucket").write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/data/version={folder}")
-    if current_version(spark, path) != version:
-        raise RuntimeError(f"another merge has moved {path} on; repeat this one")
-    _point_to(spark, path, version + 1, buckets, {**held, **{b: folder for b in touched}})
-
-
-def remove_old_versions(spark: SparkSession, path: str) -> int:
-    """Delete the buckets and manifests that the current version does not use; returns how many went.
-
-    Not part of a merge: frames read from an older version fail afterwards, so run it when none is in use.
-    """
-    version, _ = _pointer(spark, path)
-    held = _manifest(spark, path, version)
-    used, used_versions = {f"version={v}/bucket={b}" for b, v in held.items()}, {*held.values(), 0}
-    system, path_of = _files(spark, path)
-    old = [f"manifest/{name}" for name in _below(spark, f"{path}/manifest") if name != f"v{version}"]
-    for name in _below(spark, f"{path}/data"):
-        if name.startswith("version=") and int(name.split("=")[1]) <= max(used_versions):
-            buckets = [f"{name}/{b}" for b in _below(spark, f"{path}/data/{name}") if b.startswith("bucket=")]
-            stale = [b for b in buckets if b not in used]
-            old += [f"data/{name}"] if len(stale) == len(buckets) else [f"data/{b}" for b in stale]
-    for name in old:
-        system.delete(path_of(f"{path}/{name}"), True)
-    return len(old)
+    # Staged in the shared folder first, as Spark does not overwrite the files a job reads from.
+    merged = reuse(upsert(before, latest, key, modified).withColumn("bucket", bucket))
+    writer = merged.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("bucket").parquet(f"{path}/data")
 
 
 # ---------------------------------------------------------------- sync state
