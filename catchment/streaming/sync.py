@@ -135,24 +135,51 @@ def sync_many(sources: dict[str, DataFrame], specs: list[TableSpec], path: str,
     return [sync_one(sources[spec.name], spec, path, state_path) for spec in specs]
 
 
+#: The state store that keeps the newest row of every key between micro-batches, on disk and not on the heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def newest_stream(stream: DataFrame, key: str, modified: str) -> DataFrame:
+    """Per key, the newest row seen by a stream so far (ties by the other columns in order), kept as keyed state.
+
+    A streaming aggregation: each micro-batch is pre-aggregated per task before the shuffle, and in update mode
+    only keys whose newest row changed in that batch come out.
+    """
+    others = [c for c in stream.columns if c not in (key, modified)]
+    order = F.struct(F.col(modified), *[F.col(c) for c in others])
+    newest = F.max_by(F.struct(*[F.col(c) for c in stream.columns]), order)
+    return stream.where(F.col(key).isNotNull()).groupBy(key).agg(newest.alias("_newest")).select("_newest.*")
+
+
 def sync_stream(
     spark: SparkSession, source_dir: str, schema: T.StructType, spec: TableSpec, path: str, checkpoint: str | None = None
 ) -> StreamingQuery:
-    """The same upsert fed by new Parquet files, until all present files are in.
+    """The newest row of each key from the Parquet files of a folder, until all present files are in.
 
-    A replayed batch merges to the same table, so restarting from the checkpoint is safe. Within the
-    stream an older change never replaces a newer one already in the target.
+    Structured Streaming keeps the newest row per key as state (RocksDB) in the checkpoint; each micro-batch upserts
+    the keys it changed into the table. A restart goes on from the checkpoint; a replayed batch writes the same
+    rows again, and an older change never replaces a newer one already in the table.
     """
     target = f"{path}/{spec.name}"
 
     def merge_batch(batch: DataFrame, _: int) -> None:
         merge_into(batch, target, spec.primary_key, spec.last_modified_column, spec.buckets, newer_only=True)
 
-    return (
-        spark.readStream.schema(schema)
-        .parquet(source_dir)
-        .writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/sync-{spec.name}")
-        .trigger(availableNow=True)
-        .start()
-    )
+    stream = spark.readStream.schema(schema).parquet(source_dir)
+    held = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    try:
+        return (
+            newest_stream(stream, spec.primary_key, spec.last_modified_column)
+            .writeStream.outputMode("update")
+            .foreachBatch(merge_batch)
+            .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/sync-{spec.name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        # The query has taken its own copy of the settings at start.
+        if held is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", held)

@@ -196,3 +196,74 @@ def _(v):
     return runs.unionByName(
         table.agg(F.lit("rows").alias("run"), F.count("id").alias("changed"), F.max("last_modified_ts").alias("state"))
     )
+
+
+ALL_NEWEST = NEWEST.format("SELECT id, name, last_modified_ts FROM changes")
+
+
+def sync_base(v) -> str:
+    import uuid
+
+    from catchment.session import shared_dir
+
+    return f"{shared_dir(v.spark)}/sync-check-{uuid.uuid4()}"
+
+
+@check("inc02_ensure_target", NEWEST.format(f"SELECT id, name, last_modified_ts FROM changes WHERE last_modified_ts <= {SPLIT}"))
+def _(v):
+    """A target made empty, filled by one merge, and left as it is by a second ensure."""
+    from catchment.streaming import sync
+
+    path, source = f"{sync_base(v)}/users", v.changes.drop("event_id")
+    sync.ensure_target(v.spark, path, source.schema, buckets=8)
+    sync.merge_into(source.filter(F.col("last_modified_ts") <= SPLIT), path, "id", "last_modified_ts")
+    sync.ensure_target(v.spark, path, source.schema, buckets=8)
+    return sync.read_current(v.spark, path)
+
+
+@check("inc04_sync_state", f"""
+    SELECT 'users' AS table_name, max(last_modified_ts) AS last_sync_ts FROM changes WHERE last_modified_ts <= {SPLIT}
+    UNION ALL SELECT 'users', max(last_modified_ts) FROM changes
+    UNION ALL SELECT 'users', max(last_modified_ts) FROM changes""")
+def _(v):
+    """The state rows that three syncs of a growing source append: the greatest change seen after each."""
+    from catchment.schemas import SYNC_STATE
+    from catchment.streaming import sync
+
+    base, source = sync_base(v), v.changes.drop("event_id")
+    spec = sync.TableSpec("users", "id", "last_modified_ts", buckets=8)
+    for seen in (source.filter(F.col("last_modified_ts") <= SPLIT), source, source):
+        sync.sync_one(seen, spec, f"{base}/tables", f"{base}/state")
+    return v.spark.read.schema(SYNC_STATE).parquet(f"{base}/state")
+
+
+@check("inc06_sync_many", f"""
+    SELECT 'even' AS table_name, * FROM ({NEWEST.format("SELECT id, name, last_modified_ts FROM changes WHERE id % 2 = 0")})
+    UNION ALL SELECT 'odd', * FROM ({NEWEST.format("SELECT id, name, last_modified_ts FROM changes WHERE id % 2 <> 0")})""")
+def _(v):
+    """Two tables synced by one call, in two steps each, and read back."""
+    from catchment.streaming import sync
+
+    base, source = sync_base(v), v.changes.drop("event_id")
+    specs = [sync.TableSpec("even", "id", "last_modified_ts", buckets=8), sync.TableSpec("odd", "id", "last_modified_ts", buckets=8)]
+    parts = {"even": source.filter("id % 2 = 0"), "odd": source.filter("id % 2 <> 0")}
+    sync.sync_many({k: p.filter(F.col("last_modified_ts") <= SPLIT) for k, p in parts.items()}, specs, f"{base}/tables", f"{base}/state")
+    sync.sync_many(parts, specs, f"{base}/tables", f"{base}/state")
+    tables = [sync.read_current(v.spark, f"{base}/tables/{name}").select(F.lit(name).alias("table_name"), "*") for name in parts]
+    return tables[0].unionByName(tables[1])
+
+
+@check("inc07_sync_stream", ALL_NEWEST)
+def _(v):
+    """The changes landed as three files, streamed with keyed state, restarted from the checkpoint for the last."""
+    from catchment.streaming import sync
+
+    base, source = sync_base(v), v.changes.drop("event_id")
+    spec = sync.TableSpec("users", "id", "last_modified_ts", buckets=8)
+    landing, checkpoint = f"{base}/landing", f"{base}/checkpoint"
+    cuts = [F.col("last_modified_ts") <= SPLIT, (F.col("last_modified_ts") > SPLIT) & (F.col("id") % 2 == 0), (F.col("last_modified_ts") > SPLIT) & (F.col("id") % 2 != 0)]
+    for at, cut in enumerate(cuts):
+        source.filter(cut).coalesce(1).write.parquet(f"{landing}/part={at}")
+        if at:
+            sync.sync_stream(v.spark, f"{landing}/part=*", source.schema, spec, f"{base}/tables", checkpoint).awaitTermination()
+    return sync.read_current(v.spark, f"{base}/tables/users")
