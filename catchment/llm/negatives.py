@@ -26,12 +26,17 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catchment.session import shared_dir
 
+#: Queries that meet the rows of a chunk in one group, and that are scored against them at once.
+QUERY_ROWS = 4096
+SLICE_QUERIES = 256
+
 #: Slack added to every bound, far above the rounding of doubles for integer vectors of this size.
 SLACK = 1e-6
 
@@ -135,7 +140,41 @@ class Index:
         self.cells = Cells(self.books, self.radius, self.count, self.chunks, self.k2, self.h)
 
 
-def search(index: Index, queries: DataFrame, k: int, window: int = 8) -> DataFrame:
+def best_of_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """For each query of a block, its best k rows of a chunk by exact integer score, within its label rule,
+    skipped key and score bounds; ties by the smaller key."""
+    empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "key": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="int64")})
+    if queries.empty or rows.empty:
+        return empty
+    x = np.stack(rows["x"].to_numpy()).astype(np.int64)
+    keys, labels = rows["key"].to_numpy(np.int64), rows["label"].to_numpy(np.int64)
+    out = []
+    for at in range(0, len(queries), SLICE_QUERIES):
+        part = queries.iloc[at : at + SLICE_QUERIES]
+        q = np.stack(part["q"].to_numpy()).astype(np.int64)
+        # Doubles are exact while every partial sum stays below 2^53; beyond that, integers.
+        if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * x.shape[1] < 2.0**53:
+            scores = np.rint(q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
+        else:
+            scores = q @ x.T
+        for i, (qid, label, same, lo, hi, skip) in enumerate(zip(part["qid"], part["label"], part["same"], part["lo"], part["hi"], part["skip"])):
+            ok = (labels == label) if same else (labels != label)
+            if pd.notna(skip):
+                ok &= keys != skip
+            if pd.notna(lo):
+                ok &= scores[i] >= lo
+            if pd.notna(hi):
+                ok &= scores[i] <= hi
+            at_ok = np.flatnonzero(ok)
+            if len(at_ok) > k:
+                values = scores[i, at_ok]
+                at_ok = at_ok[values >= np.partition(values, len(values) - k)[len(values) - k]]
+            top = at_ok[np.lexsort((keys[at_ok], -scores[i, at_ok]))[:k]]
+            out.append(pd.DataFrame({"qid": np.full(len(top), qid, np.int64), "key": keys[top], "score": scores[i, top]}))
+    return pd.concat(out) if out else empty
+
+
+def search(index: Index, queries: DataFrame, k: int, window: int = 32) -> DataFrame:
     """The best k rows for each query, exactly: (qid, key, score, rank).
 
     Queries have qid, q (the vector), label, same (a row must have the same label, else another), lo and hi (bounds of
@@ -165,14 +204,16 @@ def search(index: Index, queries: DataFrame, k: int, window: int = 8) -> DataFra
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("qid", pa.int64()), ("cell", pa.int64()), ("chunk", pa.int32()), ("bound", pa.float64())]))
 
         visit = stored(open_queries.select("qid", "q", "lo", "hi").mapInArrow(cells, "qid long, cell long, chunk int, bound double"), "visit")
-        probes = visit.where("cell >= 0").join(open_queries, "qid").join(index.rows.withColumnRenamed("label", "row_label"), ["cell", "chunk"])
-        score = F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, v: s + v)
-        found = probes.select("qid", "key", score.alias("score"), "row_label", "label", "same", "lo", "hi", "skip")
-        found = found.where(F.when(F.col("same"), F.col("row_label") == F.col("label")).otherwise(F.col("row_label") != F.col("label")))
-        found = found.where(F.col("skip").isNull() | (F.col("key") != F.col("skip")))
-        found = found.where((F.col("lo").isNull() | (F.col("score") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("score") <= F.col("hi"))))
+        # Queries of a cell come in blocks of at most QUERY_ROWS, each meeting the cell's chunks of rows.
+        blocks = max(1, math.ceil(open_queries.count() / QUERY_ROWS))
+        probes = visit.where("cell >= 0").join(open_queries, "qid").withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int"))
+        held = index.rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        group = ["cell", "chunk", "block"]
+        found = probes.select(*group, "qid", "q", "label", "same", "lo", "hi", "skip").groupBy(*group).cogroup(held.groupBy(*group)).applyInPandas(
+            lambda left, right: best_of_block(left, right, k), "qid long, key long, score long"
+        )
         ranked = Window.partitionBy("qid").orderBy(F.desc("score"), "key")
-        best = stored(best.unionByName(found.select("qid", "key", "score")).withColumn("rank", F.row_number().over(ranked)).where(f"rank <= {k}").drop("rank"), "best")
+        best = stored(best.unionByName(found).withColumn("rank", F.row_number().over(ranked)).where(f"rank <= {k}").drop("rank"), "best")
         tally = best.groupBy("qid").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
         following = visit.where("cell < 0").select("qid", F.col("bound").alias("next_bound"))
         state = open_queries.select("qid").join(following, "qid", "left").join(tally, "qid", "left")
