@@ -132,3 +132,18 @@ def _(v):
     bridge.run_registered(v.spark, registry, at, log=(f"{at}/log", f"{at}/performance"))
     failed = bridge.read_log(v.spark, f"{at}/log").filter("status = 'failed'").count()
     return v.spark.read.parquet(f"{at}/good.parquet").withColumn("failed", F.lit(failed))
+
+
+@check("udf03_read_features", """
+    SELECT geoid, count(DISTINCT ring) AS n_rings, count(*) + count(DISTINCT ring) AS n_points FROM tract_edges GROUP BY geoid""")
+def _(v):
+    """Tracts written as GeoJSON, read back by the table function from SQL, one file per partition."""
+    from catchment.sources import features
+
+    at = folder(v)
+    sinks.write_geojson(v.tracts.select("geoid", "rings").repartition(4), at)
+    features.register(v.spark)
+    rows = v.spark.sql(f"""
+        SELECT get_json_object(properties, '$.geoid') AS geoid, size(rings) AS n_rings, aggregate(rings, 0, (n, r) -> n + size(r)) AS n_points
+        FROM read_features(TABLE(SELECT path, content FROM binaryFile.`{at}`) PARTITION BY path)""")
+    return rows.groupBy("geoid").agg(F.sum("n_rings").alias("n_rings"), F.sum("n_points").alias("n_points"))

@@ -370,3 +370,29 @@ def test_table_rows(spark, rows):
     <table class="a swift-country"><thead><tr><th> Bank </th><th>Code</th></tr></thead><tbody><tr><td>B <i>one</i></td><td>C1</td></tr><tr><td>short</td></tr></tbody></table>"""
     df = spark.createDataFrame([(1, page), (2, "<p>none</p>"), (3, None)], "id int, html string")
     assert [r["row"] for r in html.table_rows(df, "swift-country").collect()] == [{"Bank": "Bone", "Code": "C1"}]
+
+
+# ---------------------------------------------------------------- table function
+
+
+def test_read_features_from_sql(spark, tmp_path):
+    from catchment.sources import features
+
+    square = [[[0, 0], [1, 0], [1, 1], [0, 0]]]
+    collection = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"id": "a"}, "geometry": {"type": "Polygon", "coordinates": square}},
+        {"type": "Feature", "properties": {"id": "b"}, "geometry": {"type": "MultiPolygon", "coordinates": [square, square]}},
+        {"type": "Feature", "properties": {"id": "c"}, "geometry": None},
+        {"type": "Feature", "properties": {"id": "d"}, "geometry": {"type": "Polygon", "coordinates": []}},
+    ]}
+    (tmp_path / "one.geojson").write_text(json.dumps(collection))
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(f) for f in collection["features"][:2]) + "\n\n")
+    (tmp_path / "empty.json").write_text("")
+    features.register(spark)
+    got = spark.sql(f"""
+        SELECT regexp_extract(path, '[^/]+$', 0) AS file, get_json_object(properties, '$.id') AS id, kind, size(rings) AS n, rings[0][1].lon AS lon
+        FROM read_features(TABLE(SELECT path, content FROM binaryFile.`{tmp_path}`) PARTITION BY path)""").collect()
+    assert sorted(tuple(r) for r in got) == [
+        ("lines.json", "a", "Polygon", 1, 1.0), ("lines.json", "b", "MultiPolygon", 2, 1.0),
+        ("one.geojson", "a", "Polygon", 1, 1.0), ("one.geojson", "b", "MultiPolygon", 2, 1.0),
+    ]

@@ -12,10 +12,10 @@ from checks.views import Views
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups")
 
-# Operators whose work is Python by design: polygon overlap area, and page tokenising.
+# Operators whose work is Python by design: polygon overlap area, page tokenising, and parsing GeoJSON files.
 PYTHON_QUERIES = {
     "join08_isochrone_overlap", "fun05_intersection_area", "pip04_reach", "fun13_label_values", "fun14_list_items", "fun15_page_outcomes",
-    "prj22_ach_wire_rows", "udf04_row_generator", "pip06_routing_directory",
+    "prj22_ach_wire_rows", "udf04_row_generator", "pip06_routing_directory", "udf03_read_features",
 }
 
 
