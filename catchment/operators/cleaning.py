@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,29 @@ def union_mixed(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def read_mixed_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """JSON files whose fields may disagree on type, read in one pass as VARIANT and settled from the values.
+
+    Each field's type is the merge of the types of all its values (``schema_of_variant_agg``, per field after
+    ``variant_explode``), so numbers of different widths widen; a field whose values disagree in kind (number and
+    text, say) becomes text, as does a field that is null everywhere. Columns come in name order. A field name that
+    holds both single and double quotes raises, as no variant path can name it.
+    """
+    raw = spark.read.option("singleVariantColumn", "_row").json(path)
+    fields = raw.lateralJoin(spark.tvf.variant_explode(F.col("_row").outer())).where(F.col("key").isNotNull())
+    settled = {r["key"]: r["t"] for r in fields.groupBy("key").agg(F.expr("schema_of_variant_agg(value)").alias("t")).collect()}  # one per field
+
+    def typed(name: str, kind: str) -> Column:
+        if '"' not in name:
+            where = f'$["{name}"]'
+        elif "'" not in name:
+            where = f"$['{name}']"
+        else:
+            raise ValueError(f"a field name with both kinds of quotes cannot be read by path: {name}")
+        return F.variant_get("_row", where, "string" if kind in ("VARIANT", "VOID") else kind).alias(name)
+    return raw.select(*[typed(name, kind) for name, kind in sorted(settled.items())])
+
+
 def clean_frame(df: DataFrame) -> DataFrame:
     """Names, then all-null columns, then empty text. A Spark column has one type, so none is mixed here."""
     return empty_to_null(drop_all_null_columns(clean_column_names(df)))

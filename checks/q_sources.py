@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from catchment.functions import geo
+from catchment.operators import cleaning
 from catchment.session import shared_dir
 from catchment.sources import catalogs, readers, sinks
 from checks.registry import check
@@ -113,3 +114,15 @@ def _(v):
 def _(v):
     located = v.branches.filter(geo.valid_coordinates(F.col("lat"), F.col("lon"))).select("branch_id", geo.make_point(F.col("lon"), F.col("lat")).alias("p"))
     return located.select("branch_id", geo.x(F.col("p")).alias("x"), geo.y(F.col("p")).alias("y"))
+
+
+@check("prj04_resolve_mixed_types", """
+    SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name,
+           CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_nationkey AS VARCHAR) ELSE 'n' || s_nationkey END AS s_nationkey FROM supplier""")
+def _(v):
+    """Suppliers as JSON files that disagree on the type of the nation: number in some, text in others."""
+    at = folder(v)
+    suppliers = v.table("supplier").selectExpr("cast(s_suppkey as bigint) as s_suppkey", "s_name", "s_nationkey")
+    suppliers.where("s_suppkey % 2 = 0").write.json(f"{at}/numbers")
+    suppliers.where("s_suppkey % 2 <> 0").selectExpr("s_suppkey", "s_name", "concat('n', s_nationkey) as s_nationkey").write.json(f"{at}/texts")
+    return cleaning.read_mixed_json(v.spark, [f"{at}/numbers", f"{at}/texts"])

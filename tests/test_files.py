@@ -396,3 +396,15 @@ def test_read_features_from_sql(spark, tmp_path):
         ("lines.json", "a", "Polygon", 1, 1.0), ("lines.json", "b", "MultiPolygon", 2, 1.0),
         ("one.geojson", "a", "Polygon", 1, 1.0), ("one.geojson", "b", "MultiPolygon", 2, 1.0),
     ]
+
+
+def test_read_mixed_json_settles_types_from_values(spark, tmp_path):
+    from catchment.operators import cleaning
+
+    spark.createDataFrame([(1, 5, 1.5, None, "a")], "k long, n int, `odd 'name`  double, gone string, s string").write.json(str(tmp_path / "a"))
+    spark.createDataFrame([(2, "x7", 3, None)], "k long, n string, `odd 'name` long, gone string").write.json(str(tmp_path / "b"))
+    got = cleaning.read_mixed_json(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    types = dict(got.dtypes)
+    assert types["k"] == "bigint" and types["n"] == "string" and types["s"] == "string" and types["odd 'name"].startswith("decimal")
+    assert "gone" not in types  # null everywhere: JSON writers leave it out, so no value says what it is
+    assert sorted((r["k"], r["n"], float(r["odd 'name"]), r["s"]) for r in got.collect()) == [(1, "5", 1.5, "a"), (2, "x7", 3.0, None)]
