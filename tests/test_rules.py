@@ -228,3 +228,17 @@ def test_duration_matrix_short_row(spark):
     )
     got = {(r["source_name"], r["destination_name"]): r["duration"] for r in lookup.duration_pairs(df).collect()}
     assert got == {("s0", "d0"): 10.0, ("s0", "Unknown"): 20.0, ("s1", "d0"): 30.0, ("s1", "Unknown"): None}
+
+
+def test_describe_counts_empty_files_and_reads_no_values(spark, tmp_path):
+    from catchment.operators import profile
+
+    at = str(tmp_path / "d")
+    spark.range(10).selectExpr("id", "id * 2 as v").repartition(3).write.parquet(at)
+    spark.range(0).selectExpr("id", "id * 2 as v").write.mode("append").parquet(at)
+    files = [f for f in (tmp_path / "d").iterdir() if f.name.endswith(".parquet")]
+    got = profile.describe_parquet(spark, at).first()
+    assert got["files"] == len(files) >= 4 and got["row_count"] == 10 and got["column_count"] == 2
+    assert got["bytes"] == sum(f.stat().st_size for f in files)
+    plan = profile.describe_parquet(spark, at)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
