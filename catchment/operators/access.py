@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.session import reuse
 
 
 # ---------------------------------------------------------------- filters
@@ -119,23 +118,120 @@ def row_hash(df: DataFrame) -> Column:
 
 
 def page(
-    df: DataFrame, sort_by: str, sort_order: str = "ASC", limit: int = 10, offset: int = 0, key: str | None = None
+    df: DataFrame,
+    sort_by: str,
+    sort_order: str = "ASC",
+    limit: int = 10,
+    offset: int = 0,
+    key: str | None = None,
+    ranges: int = 64,
+    settle_rows: int = 200_000,
+    seed: int = 7,
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the sorted frame, in its order.
-
-    The sorted frame is written once and keeps its range partitions. Their row counts, one row each, tell which few
-    hold the page; only these are read again, so no task gathers the rows that are skipped, however many.
+    """Rows ``offset`` to ``offset + limit`` of the sorted frame, in its order, without sorting or writing the frame.
+
+    The order is that of :func:`order`: the sort field with nulls last, then ``key`` (if given), then a hash of the
+    row, so that rows only tie when they are equal in every hashable column. A bounded sample of sort keys (about
+    ``8 * ranges`` rows) gives up to ``ranges - 1`` bounds; every bound is a range of its own beside the open ranges
+    between bounds, and one aggregation counts the rows of each exactly. Only the ranges that overlap the page are
+    followed: a range of at most ``settle_rows`` rows gives its slice by a bounded top-k (offset plus limit rows per task), a range of one sort key (rows equal in all
+    hashable columns, such as a third of the table holding one value) gives any ``limit`` of its rows, and a larger
+    range is split again in the same way. A page that ends within the first ``settle_rows`` rows is taken by that top-k
+    at once, without counting. Each pass is one scan whose first sort field is filtered by a predicate
+    Parquet can take. An offset past the end gives no rows.
     """
-    places = {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
-    written = reuse(order(df, sort_by, sort_order, key).withColumns(places))
-    counts = written.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    hit = starts.where((F.col("_start") < offset + limit) & (F.col("_start") + F.col("_n") > offset)).select("_part", "_start")
-    place = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) + F.col("_start")
-    paged = written.join(hit, "_part").withColumn("_place", place)
-    paged = paged.where((F.col("_place") > offset) & (F.col("_place") <= offset + limit))
-    return paged.orderBy("_place").drop("_part", "_at", "_start", "_place")
+    if limit <= 0 or offset < 0:
+        return df.limit(0)
+    descending = sort_order.upper() != "ASC"
+    keyed = df.withColumn("_tie", row_hash(df))
+    terms = [(sort_by, descending)] + ([(key, False)] if key else []) + [("_tie", False)]
+    names = [name for name, _ in terms]
+    types = {name: keyed.schema[name].dataType for name in names}
+
+    def literal(name, value):
+        return F.lit(value).cast(types[name])
+
+    def after(name, down, value):
+        column = F.col(name)
+        if value is None:
+            return F.lit(False)
+        return column.isNull() | (column < literal(name, value) if down else column > literal(name, value))
+
+    def same(name, value):
+        return F.col(name).eqNullSafe(literal(name, value))
+
+    def beyond(bound, inclusive):
+        """Rows whose sort key is after ``bound`` (or equal to it, if inclusive)."""
+        term = F.lit(inclusive)
+        for (name, down), value in reversed(list(zip(terms, bound))):
+            term = F.coalesce(after(name, down, value) | (same(name, value) & term), F.lit(False))
+        return term
+
+    def coarse(low, high):
+        """The same range on the first field alone, in a form the Parquet scan takes."""
+        column, parts = F.col(sort_by), []
+        if low is not None:
+            value = low[0][0]
+            parts.append(column.isNull() if value is None else column.isNull() | (column <= value if descending else column >= value))
+        if high is not None and high[0][0] is not None:
+            value = high[0][0]
+            parts.append(column >= value if descending else column <= value)
+        return reduce(lambda a, b: a & b, parts, F.lit(True))
+
+    def within(low, high):
+        """Rows in the range ``low`` .. ``high``; each end is ``(key, inclusive)`` or None for no end."""
+        term = coarse(low, high)
+        if low is not None:
+            term = term & beyond(low[0], low[1])
+        if high is not None:
+            term = term & ~beyond(high[0], not high[1])
+        return term
+
+    sort = [F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_last() for n, d in terms]
+
+    pieces: list[DataFrame] = []
+
+    def follow(low, high, rows_in: int, skip: int, take: int, fraction: float) -> None:
+        rows = keyed.where(within(low, high))
+        if rows_in <= settle_rows:
+            pieces.append(rows.orderBy(*sort).offset(skip).limit(take))
+            return
+        sampled = rows.select(*names).sample(False, min(1.0, fraction * 8 * ranges / rows_in), seed).distinct()
+        drawn = [tuple(r) for r in sampled.orderBy(*sort).limit(32 * ranges).collect()]
+        if not drawn:
+            follow(low, high, rows_in, skip, take, fraction * 4)
+            return
+        step = max(1, len(drawn) // ranges)
+        bounds = drawn[step // 2 :: step][: ranges - 1] or drawn[:1]
+        at_least = reduce(lambda a, b: a + b, [beyond(b, True).cast("int") for b in bounds])
+        equal = reduce(lambda a, b: a | b, [reduce(lambda x, y: x & y, [same(n, v) for n, v in zip(names, b)]) for b in bounds])
+        counts = dict(rows.groupBy((at_least * 2 - equal.cast("int")).alias("_range")).count().collect())
+        start = 0
+        for number in range(2 * len(bounds) + 1):
+            n = counts.get(number, 0)
+            if n and start < skip + take and start + n > skip:
+                here = max(skip - start, 0)
+                count = min(skip + take, start + n) - start - here
+                if number % 2:
+                    bound = bounds[number // 2]
+                    same_key = reduce(lambda x, y: x & y, [same(nm, v) for nm, v in zip(names, bound)])
+                    pieces.append(keyed.where(coarse((bound, True), (bound, True)) & same_key).limit(count))
+                else:
+                    lower = low if number == 0 else (bounds[number // 2 - 1], False)
+                    upper = high if number // 2 == len(bounds) else (bounds[number // 2], False)
+                    follow(lower, upper, n, here, count, 1.0)
+            start += n
+
+    if offset + limit <= settle_rows:
+        return keyed.orderBy(*sort).offset(offset).limit(limit).drop("_tie")
+    total = df.count()
+    if offset < total:
+        follow(None, None, total, offset, limit, 1.0)
+    if not pieces:
+        return df.limit(0)
+    numbered = [p.withColumn("_piece", F.lit(i)) for i, p in enumerate(pieces)]
+    together = reduce(lambda a, b: a.unionByName(b), numbered)
+    return together.orderBy("_piece", *sort).drop("_piece", "_tie")
 
 
 def sample(df: DataFrame, rows: int = 10) -> DataFrame:

@@ -173,6 +173,29 @@ def test_pages_are_slices_in_order(spark, limit, offset):
     assert access.page(df, "v", limit=5, offset=9000, key="id").count() == 0
 
 
+@pytest.mark.parametrize("limit,offset", [(10, 0), (40, 1210), (300, 1500), (25, 2990), (7, 3995), (5, 4000)])
+def test_pages_split_ranges_with_hot_values_and_copies(spark, limit, offset):
+    # a third of the rows hold one value and half of those are copies of one row: ranges are split down to 40 rows
+    df = spark.range(0, 4000, numPartitions=5).selectExpr(
+        "if(id % 3 = 0, 5, if(id % 97 = 0, null, id * 7919 % 600)) as v", "if(id % 6 = 0, 'same', cast(id as string)) as s"
+    )
+    whole = [tuple(r) for r in access.order(df, "v", "ASC").collect()]
+    got = [tuple(r) for r in access.page(df, "v", "ASC", limit, offset, ranges=4, settle_rows=40).collect()]
+    assert got == whole[offset : offset + limit]
+    down = [tuple(r) for r in access.order(df, "v", "DESC").collect()]
+    assert [tuple(r) for r in access.page(df, "v", "DESC", limit, offset, ranges=3, settle_rows=40).collect()] == down[offset : offset + limit]
+
+
+def test_page_plan_writes_nothing_and_pushes_the_range(spark, tmp_path):
+    at = str(tmp_path / "t")
+    spark.range(0, 3000, numPartitions=4).selectExpr("id", "id * 13 % 1000 as v").write.parquet(at)
+    paged = access.page(spark.read.parquet(at), "v", "DESC", 10, 1500, key="id", ranges=8, settle_rows=100)
+    plan = paged._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(v), GreaterThanOrEqual(v," in plan or "LessThanOrEqual(v," in plan
+    assert "InsertIntoHadoopFsRelation" not in plan and "WriteFiles" not in plan
+    assert paged.count() == 10
+
+
 def test_rows_without_a_key_stay_apart(spark, rows):
     target = spark.createDataFrame([(1, "a"), (None, "old")], "id int, name string")
     staged = spark.createDataFrame([(1, "b", 9), (None, "x", 1), (None, "y", 2)], "id int, name string, more int")
