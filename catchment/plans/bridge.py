@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,15 +50,32 @@ def run_registered(
     user_id: str | None = None,
     now: dt.datetime | None = None,
     log: tuple[str, str] | None = None,
+    workers: int = 4,
+    timeout: float | None = None,
+    pool: str = "scheduled",
 ) -> list[dict]:
     """Run each query of a registry, a row per SQL file, and save its cleaned output. A failing query is a failed row.
 
-    ``now`` stamps all runs; without it each has its own time. With ``log``, the paths of both logs, every row is
-    appended as its query ends, so a lost driver loses none that ended.
+    Up to ``workers`` queries run at once, each from a driver thread of its own, so their Spark jobs share the
+    executors (in the scheduler pool ``pool`` when the fair scheduler is on). Queries that write the same output run
+    one after another in one thread. Every query's jobs carry a job group of their own: a query still running after
+    ``timeout`` seconds is cancelled by it and logged as failed, the others go on. Rows come back in the order the
+    queries end. ``now`` stamps all runs; without it each has its own time. With ``log``, the paths of both logs, every
+    row is appended by the calling thread as its query ends, so a lost driver loses none that ended.
     """
-    rows = []
-    for record in registry.orderBy("query_name").collect():
-        started = time.monotonic()
+    records = registry.orderBy("query_name").collect()
+    by_output: dict[tuple, list] = {}
+    for record in records:
+        by_output.setdefault((record["output_filename"], record["output_format"]), []).append(record)
+    run_id = uuid.uuid4().hex[:8]
+    started_at: dict[str, float] = {}
+    context = spark.sparkContext
+
+    def run_one(record) -> dict:
+        group = f"scheduled-{run_id}-{record['query_name']}"
+        context.setJobGroup(group, f"scheduled query {record['query_name']}", interruptOnCancel=True)
+        context.setLocalProperty("spark.scheduler.pool", pool)
+        started_at[group] = started = time.monotonic()
         row = {
             "query_name": record["query_name"],
             "last_run": now or dt.datetime.now().replace(microsecond=0),
@@ -68,9 +87,27 @@ def run_registered(
             row |= {"status": "success", "execution_time_seconds": time.monotonic() - started}
         except Exception as error:
             row |= {"status": "failed", "error_message": str(error)}
-        rows.append(row)
-        if log:
-            log_run(spark, [row], *log)
+        finally:
+            started_at.pop(group, None)
+        return row
+
+    def run_in_turn(queue: list) -> list[dict]:
+        return [run_one(record) for record in queue]
+
+    rows: list[dict] = []
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as threads:
+        pending = {threads.submit(run_in_turn, queue) for queue in by_output.values()}
+        while pending:
+            done, pending = wait(pending, timeout=1.0 if timeout else None, return_when=FIRST_COMPLETED)
+            for future in done:
+                for row in future.result():
+                    rows.append(row)
+                    if log:
+                        log_run(spark, [row], *log)
+            if timeout:
+                for group, began in list(started_at.items()):
+                    if time.monotonic() - began > timeout:
+                        context.cancelJobGroup(group)
     return rows
 
 

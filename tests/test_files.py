@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import json
 
 import pytest
@@ -330,6 +331,33 @@ def test_bridge_named_and_overrides(spark, tmp_path):
     assert (tmp_path / "out" / "seven.csv").exists()
 
 
+def test_bridge_runs_at_once_and_cancels_a_slow_query(spark, tmp_path):
+    registry = spark.createDataFrame(
+        [
+            ("a_bad.sql", "SELECT nope FROM nowhere", "daily", "bad", "parquet"),
+            ("b_slow.sql", "SELECT sum(id * 3 % 7) AS s FROM range(0, 200000000000, 1, 2)", "daily", "slow", "parquet"),
+            ("c_first.sql", "SELECT 1 AS v", "daily", "same", "parquet"),
+            ("d_second.sql", "SELECT 2 AS v", "daily", "same", "parquet"),
+            ("e_good.sql", "SELECT id FROM range(1000)", "daily", "good", "parquet"),
+        ],
+        "query_name string, sql string, frequency string, output_filename string, output_format string",
+    )
+    out, base = str(tmp_path / "out"), str(tmp_path / "log")
+    began = time.monotonic()
+    rows = bridge.run_registered(spark, registry, out, log=(f"{base}/log", f"{base}/performance"), workers=3, timeout=5)
+    assert time.monotonic() - began < 60
+    status = {r["query_name"]: r["status"] for r in rows}
+    assert status == {"a_bad.sql": "failed", "b_slow.sql": "failed", "c_first.sql": "success", "d_second.sql": "success", "e_good.sql": "success"}
+    assert "cancel" in next(r for r in rows if r["query_name"] == "b_slow.sql")["error_message"].lower()
+    # two queries with one output run one after the other, in name order: the second one's rows stay
+    assert [r[0] for r in spark.read.parquet(f"{out}/same.parquet").collect()] == [2]
+    assert spark.read.parquet(f"{out}/good.parquet").count() == 1000
+    logged = bridge.read_log(spark, f"{base}/log")
+    assert sorted((r["query_name"], r["status"]) for r in logged.collect()) == sorted(status.items())
+    # the pool's threads leave no job group behind on the caller
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
 # ---------------------------------------------------------------- pages
 
 PAGE = """<html><body><h1>Bank</h1>
