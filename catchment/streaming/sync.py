@@ -8,6 +8,8 @@ buckets and leaves the others as they are. The table is plain partitioned Parque
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,12 +108,12 @@ def save_sync(spark: SparkSession, state_path: str, table: str, value: int) -> N
     spark.createDataFrame([(table, value)], SYNC_STATE).write.mode("append").parquet(state_path)
 
 
-def sync_one(source: DataFrame, spec: TableSpec, path: str, state_path: str) -> tuple[str, int]:
-    """Merge rows changed since the last sync and move the state to the greatest change among them.
+def sync_changes(source: DataFrame, spec: TableSpec, path: str, state_path: str) -> tuple[str, int, int]:
+    """Merge rows changed since the last sync into the table; the state is left to the caller.
 
     Rows that bear the last sync's very value are looked at again, as some may have landed after it: those the table
-    does not hold as they are count as changed. Returns the name and the number of changed rows. Without any, the
-    state is written again as it was.
+    does not hold as they are count as changed. Returns the name, the number of changed rows and the value the state
+    moves to (the greatest change among them, or the last sync's value without any).
     """
     spark = source.sparkSession
     last = last_sync(spark, state_path, spec.name)
@@ -127,12 +129,52 @@ def sync_one(source: DataFrame, spec: TableSpec, path: str, state_path: str) ->
         # Only rows this run has counted: a source that grows meanwhile keeps the rest for the next run.
         seen = staged.filter(F.col(spec.last_modified_column) <= found["newest"])
         merge_into(seen, f"{path}/{spec.name}", spec.primary_key, spec.last_modified_column, spec.buckets)
-    save_sync(spark, state_path, spec.name, found["newest"] or last)
-    return spec.name, found["n"]
+    return spec.name, found["n"], found["newest"] or last
+
+
+def sync_one(source: DataFrame, spec: TableSpec, path: str, state_path: str) -> tuple[str, int]:
+    """Merge rows changed since the last sync and move the state to the greatest change among them.
+
+    Returns the name and the number of changed rows. Without any, the state is written again as it was.
+    """
+    name, changed, value = sync_changes(source, spec, path, state_path)
+    save_sync(source.sparkSession, state_path, name, value)
+    return name, changed
 
 
-def sync_many(sources: dict[str, DataFrame], specs: list[TableSpec], path: str, state_path: str) -> list[tuple[str, int]]:
-    return [sync_one(sources[spec.name], spec, path, state_path) for spec in specs]
+def sync_many(
+    sources: dict[str, DataFrame], specs: list[TableSpec], path: str, state_path: str, workers: int = 4
+) -> list[tuple[str, int]]:
+    """Sync several tables at once, up to ``workers`` at a time, each from a driver thread with a job group of its own.
+
+    Tables are written apart, so their jobs run side by side on the executors; the state rows are appended by the
+    calling thread as each table ends, so two jobs never commit into one folder. A failing table does not stop the
+    others: their states are saved, then the first error is raised. Results come in the order of ``specs``.
+    """
+    if len({spec.name for spec in specs}) < len(specs):
+        raise ValueError("each table may be synced once per call")
+    if not specs:
+        return []
+    spark = sources[specs[0].name].sparkSession
+    run_id = uuid.uuid4().hex[:8]
+
+    def run(spec: TableSpec) -> tuple[str, int, int]:
+        spark.sparkContext.setJobGroup(f"sync-{run_id}-{spec.name}", f"sync {spec.name}", interruptOnCancel=True)
+        return sync_changes(sources[spec.name], spec, path, state_path)
+
+    results, errors = {}, []
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as threads:
+        for future in as_completed([threads.submit(run, spec) for spec in specs]):
+            try:
+                name, changed, value = future.result()
+            except Exception as error:
+                errors.append(error)
+                continue
+            save_sync(spark, state_path, name, value)
+            results[name] = changed
+    if errors:
+        raise errors[0]
+    return [(spec.name, results[spec.name]) for spec in specs]
 
 
 #: The state store that keeps the newest row of every key between micro-batches, on disk and not on the heap.

@@ -272,6 +272,20 @@ def test_sync_runs(spark, tmp_path, rows):
         sync.sync_one(source.drop("id"), SPEC, tables, str(tmp_path / "fresh"))
 
 
+def test_sync_many_runs_tables_at_once_and_keeps_the_others_when_one_fails(spark, tmp_path, rows):
+    tables, state = str(tmp_path / "t"), str(tmp_path / "state")
+    specs = [sync.TableSpec(n, "id", "last_modified_ts", buckets=4) for n in ("a", "b", "c", "broken")]
+    sources = {n: spark.range(0, 500 * (i + 1)).selectExpr("id", f"'{n}' as name", "id * 10 + 10 as last_modified_ts") for i, n in enumerate("abc")}
+    sources["broken"] = sources["a"].drop("id")
+    with pytest.raises(ValueError, match="key column"):
+        sync.sync_many(sources, specs, tables, state, workers=3)
+    assert [sync.last_sync(spark, state, n) for n in ("a", "b", "c", "broken")] == [5000, 10000, 15000, 0]
+    assert sync.sync_many(sources, specs[:3], tables, state, workers=3) == [("a", 0), ("b", 0), ("c", 0)]
+    assert sync.read_current(spark, f"{tables}/c").count() == 1500
+    with pytest.raises(ValueError, match="once per call"):
+        sync.sync_many(sources, [specs[0], specs[0]], tables, state)
+
+
 def test_ensure_target_and_empty_merge(spark, tmp_path):
     path = str(tmp_path / "t")
     staged = spark.createDataFrame([], SOURCE)
