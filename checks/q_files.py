@@ -147,3 +147,99 @@ def _(v):
         SELECT get_json_object(properties, '$.geoid') AS geoid, size(rings) AS n_rings, aggregate(rings, 0, (n, r) -> n + size(r)) AS n_points
         FROM read_features(TABLE(SELECT path, content FROM binaryFile.`{at}`) PARTITION BY path)""")
     return rows.groupBy("geoid").agg(F.sum("n_rings").alias("n_rings"), F.sum("n_points").alias("n_points"))
+
+
+FAILED_PAGES = """
+    SELECT lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS routing_number, concat('/bank/', CAST(s_suppkey AS VARCHAR)) AS url,
+           CASE WHEN s_acctbal < 0 THEN 404 ELSE 500 END AS http_status, 'error' AS level, 'http' AS error_type,
+           s_name AS error_message
+    FROM supplier"""
+
+
+@check("snk09_append_failures", FAILED_PAGES)
+def _(v):
+    """Failure rows of two runs appended to one table, an undeclared column left out; read back without the time."""
+    at = folder(v)
+    failures = v.table("supplier").selectExpr(
+        "lpad(cast(s_suppkey as string), 9, '0') as routing_number",
+        "concat('/bank/', cast(s_suppkey as string)) as url",
+        "cast(if(s_acctbal < 0, 404, 500) as int) as http_status",
+        "'error' as level",
+        "'http' as error_type",
+        "s_name as error_message",
+        "timestamp'2024-01-01 00:00:00' as when_utc",
+        "s_suppkey % 2 as run",
+    )
+    for run in (0, 1):
+        sinks.append_failures(failures.where(F.col("run") == run), f"{at}/failures")
+    return v.spark.read.parquet(f"{at}/failures").drop("when_utc")
+
+
+def _run_logged(v) -> tuple[str, str]:
+    """Three registered queries over given tables, one failing, run with both logs; the output folder and log base."""
+    at = folder(v)
+    v.table("supplier").createOrReplaceTempView("files_log_supplier")
+    v.table("nation").createOrReplaceTempView("files_log_nation")
+    registry = v.spark.createDataFrame(
+        [
+            ("a.sql", "SELECT * FROM absent_table", "daily", "a", "parquet"),
+            ("b.sql", "SELECT s_nationkey, count(*) AS n FROM files_log_supplier GROUP BY s_nationkey", "weekly", "b", "parquet"),
+            ("c.sql", "SELECT n_name FROM files_log_nation", "daily", "c", "csv"),
+        ],
+        "query_name string, sql string, frequency string, output_filename string, output_format string",
+    )
+    bridge.run_registered(v.spark, registry, f"{at}/out", user_id="checker", log=(f"{at}/log", f"{at}/performance"))
+    return f"{at}/out", at
+
+
+@check("inc11_log_run", """
+    SELECT 'a.sql' AS query_name, 'failed' AS status, 'daily' AS frequency, 'checker' AS user_id, true AS has_error, false AS timed, CAST(0 AS BIGINT) AS output_rows
+    UNION ALL SELECT 'b.sql', 'success', 'weekly', 'checker', false, true, count(DISTINCT s_nationkey) FROM supplier
+    UNION ALL SELECT 'c.sql', 'success', 'daily', 'checker', false, true, count(*) FROM nation""")
+def _(v):
+    """The run log of three queries: status, frequency, user, error or time, and the rows each output holds."""
+    out, at = _run_logged(v)
+    log = bridge.read_log(v.spark, f"{at}/log")
+    outputs = v.spark.createDataFrame(
+        [("b.sql", v.spark.read.parquet(f"{out}/b.parquet").count()), ("c.sql", readers.read_csv(v.spark, f"{out}/c.csv").count())],
+        "query_name string, output_rows bigint",
+    )
+    return log.join(outputs, "query_name", "left").select(
+        "query_name", "status", "frequency", "user_id",
+        F.col("error_message").isNotNull().alias("has_error"),
+        F.col("execution_time_seconds").isNotNull().alias("timed"),
+        F.coalesce("output_rows", F.lit(0)).alias("output_rows"),
+    )
+
+
+@check("inc12_log_performance", """
+    SELECT 'b.sql' AS query_name, true AS timed, 'checker' AS user_id, count(DISTINCT s_nationkey) AS groups FROM supplier""")
+def _(v):
+    """The performance log holds the successful run of a grouping query only (the other success has no groups)."""
+    out, at = _run_logged(v)
+    performance = bridge.read_performance(v.spark, f"{at}/performance").where("query_name = 'b.sql'")
+    groups = v.spark.read.parquet(f"{out}/b.parquet").agg(F.count(F.lit(1)).alias("groups"))
+    return performance.crossJoin(groups).select(
+        "query_name", (F.col("execution_time_seconds") >= 0).alias("timed"), "user_id", "groups"
+    )
+
+
+@check("inc16_promote", """
+    SELECT 'nations.parquet' AS name, 'core' AS decision, count(*) AS landed FROM nation
+    UNION ALL SELECT 'suppliers.parquet', 'review', count(*) FROM supplier
+    UNION ALL SELECT 'absent.parquet', 'skipped', CAST(0 AS BIGINT)""")
+def _(v):
+    """Two datasets promoted to core and review by their decisions, a missing one skipped; rows read from where each went."""
+    at = folder(v)
+    v.table("nation").write.parquet(f"{at}/new/nations.parquet")
+    v.table("supplier").write.parquet(f"{at}/new/suppliers.parquet")
+    decisions = v.spark.createDataFrame(
+        [("nations.parquet", "core", "size"), ("suppliers.parquet", "review", "size"), ("absent.parquet", "core", "size")],
+        "name string, decision string, reason string",
+    )
+    moved = bridge.promote(decisions, f"{at}/new", f"{at}/core", f"{at}/review", dry_run=False)
+    landed = [
+        (r["name"], r["decision"], 0 if r["decision"] == "skipped" else v.spark.read.parquet(f"{at}/{r['decision']}/{r['name']}").count())
+        for r in moved.collect()
+    ]
+    return v.spark.createDataFrame(landed, "name string, decision string, landed bigint")
