@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -243,3 +244,29 @@ def _(v):
         for r in moved.collect()
     ]
     return v.spark.createDataFrame(landed, "name string, decision string, landed bigint")
+
+
+@check("pip08_scheduled_bridge", """
+    SELECT 'bad.sql' AS query_name, 'failed' AS status, CAST(0 AS BIGINT) AS landed
+    UNION ALL SELECT 'by_nation.sql', 'success', count(DISTINCT s_nationkey) FROM supplier
+    UNION ALL SELECT 'parts.sql', 'success', count(*) FROM part""")
+def _(v):
+    """SQL files in a folder, all due on a first run: run, logged, gated and promoted; rows found in core or review."""
+    at = folder(v)
+    v.table("supplier").createOrReplaceTempView("files_bridge_supplier")
+    v.table("part").createOrReplaceTempView("files_bridge_part")
+    scripts = {
+        "bad": "SELECT nope FROM nowhere",
+        "by_nation": "SELECT s_nationkey, sum(s_acctbal) AS total FROM files_bridge_supplier GROUP BY s_nationkey",
+        "parts": "SELECT p_partkey, p_name, p_retailprice FROM files_bridge_part",
+    }
+    for name, sql in scripts.items():
+        v.spark.createDataFrame([(sql,)], "value string").coalesce(1).write.text(f"{at}/sql/{name}.sql")
+    out = bridge.scheduled_bridge(v.spark, f"{at}/sql", f"{at}/base", dt.datetime(2024, 1, 1), dry_run=False)
+    places = {r["name"]: r["decision"] for r in out["decisions"].collect()}
+    landed = []
+    for r in out["runs"].collect():
+        name = f"{r['query_name'].removesuffix('.sql')}.parquet"
+        rows = v.spark.read.parquet(f"{at}/base/{places[name]}/{name}").count() if name in places else 0
+        landed.append((r["query_name"], r["status"], rows))
+    return v.spark.createDataFrame(landed, "query_name string, status string, landed bigint")
