@@ -187,8 +187,8 @@ def _(v):
 
 @check(
     "prj17_water_flag",
-    """SELECT geoid, CASE WHEN coalesce(area_land, 0) + coalesce(area_water, 0) > 0
-        AND coalesce(area_water, 0) * 1.0 / (coalesce(area_land, 0) + coalesce(area_water, 0)) >= 0.5 THEN 1 ELSE 0 END AS is_water FROM tract_points""",
+    """SELECT geoid, CAST(coalesce(area_water, 0) > 0 AND coalesce(area_water, 0) >= coalesce(area_land, 0) AS INTEGER) AS is_water
+        FROM tract_points""",
 )
 def _(v):
     return v.tract_points.select("geoid", rules.water_flag(F.col("area_land"), F.col("area_water")).alias("is_water"))
