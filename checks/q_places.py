@@ -58,8 +58,11 @@ def _(v):
 
 @check(
     "join04_radius_detail",
-    """SELECT DISTINCT p.branch_id, p.miles, p.geoid, c.ce_tract, c.state_fips, c.county_fips, coalesce(n.population, 0) AS population
-       FROM pairs p JOIN tract_codes c ON c.geoid = p.geoid LEFT JOIN census n ON n.geoid = p.geoid""",
+    """SELECT branch_id, miles, geoid, ce_tract, state_fips, county_fips, coalesce(population, 0) AS population
+       FROM (SELECT branch_id, miles, geoid FROM pairs GROUP BY ALL)
+       JOIN (SELECT geoid, ce_tract, state_fips, county_fips FROM tract_codes) USING (geoid)
+       LEFT JOIN (SELECT geoid, population FROM census) USING (geoid)
+       GROUP BY ALL""",
 )
 def _(v):
     return places.radius_detail(pairs(v), v.tract_codes, census(v))
