@@ -79,10 +79,12 @@ def events(text: str, weights: dict[str, float], heads: set[str]) -> tuple[int,
 def maximal_segments(found: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[int, int, float]]:
     """All maximal scoring segments as first place, last place and score, by Ruzzo and Tompa's linear scan.
 
-    A candidate is kept with the sums before and after it. A new one is joined to the nearest earlier candidate that
-    starts lower, if that one ends lower than the new one; the search goes on with the joined one.
+    A candidate is kept with the sums before and after it, and with a link to the nearest earlier candidate that starts
+    lower. A new one is joined to the nearest earlier candidate that starts lower, if that one ends lower than the new
+    one; the search goes on with the joined one. The search follows the links, so it skips every candidate that starts
+    no lower than one it has passed, and far apart hits cost linear time, not quadratic.
     """
-    stack: list[list[float]] = []  # first, last, sum before, sum after
+    stack: list[list] = []  # first, last, sum before, sum after, link
     total, at = 0.0, 0
     for place, weight in found:
         total -= drift * (place - at)
@@ -92,13 +94,13 @@ def maximal_segments(found: list[tuple[int, float]], drift: float = DRIFT) -> li
         while True:
             j = len(stack) - 1
             while j >= 0 and stack[j][2] >= new[2]:
-                j -= 1
+                j = stack[j][4]
             if j < 0 or stack[j][3] >= new[3]:
-                stack.append(new)
+                stack.append([*new, j])
                 break
             new = [stack[j][0], new[1], stack[j][2], new[3]]
             del stack[j:]
-    return [(int(a), int(b), r - l) for a, b, l, r in stack]
+    return [(int(a), int(b), r - l) for a, b, l, r, _ in stack]
 
 
 def evidence(n: int, scores: list[float] | np.ndarray, rate: float, factor: float) -> float:
