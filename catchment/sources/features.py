@@ -11,6 +11,7 @@ taken apart with ``get_json_object`` or ``from_json``.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
@@ -21,18 +22,38 @@ from catchment.functions.polygon import RINGS_TYPE
 OUT = f"path string, feature int, properties string, kind string, rings {RINGS_TYPE}"
 
 
-def features_of(text: str) -> list[dict]:
-    """The features of a FeatureCollection, or of newline-delimited features."""
-    stripped = text.strip()
-    if not stripped:
-        return []
+#: Features a file should hold at most when it is written for this reader, which is handed whole files, some at once.
+FEATURES_PER_FILE = 1_000
+
+#: The lines of a text as str.splitlines cuts them, empty ones left out.
+LINE = re.compile("[^\n\r\v\f\x1c\x1d\x1e\x85\u2028\u2029]+")
+
+
+def _parsed(text: str):
     try:
-        whole = json.loads(stripped)
+        return json.loads(text)
     except json.JSONDecodeError:
-        whole = None
-    if isinstance(whole, dict):
-        return whole.get("features", []) if whole.get("type") == "FeatureCollection" else [whole]
-    return [json.loads(line) for line in stripped.splitlines() if line.strip()]
+        return None
+
+
+def features_of(text: str) -> Iterator[dict]:
+    """The features of a FeatureCollection, or of newline-delimited features, these parsed one at a time."""
+    found = (line.group() for line in LINE.finditer(text))
+    lines = (line for line in found if line.strip())
+    first, second = next(lines, None), next(lines, None)
+    if first is None:
+        return
+    # A whole object with more after it is no single value, so such a text is never parsed as one.
+    if second is None or not isinstance(_parsed(first), dict):
+        whole = _parsed(text.strip())
+        if isinstance(whole, dict):
+            yield from whole.get("features", []) if whole.get("type") == "FeatureCollection" else [whole]
+            return
+    yield json.loads(first)
+    if second is not None:
+        yield json.loads(second)
+    for line in lines:
+        yield json.loads(line)
 
 
 def rings_of(geometry: dict | None) -> tuple[str | None, list]:

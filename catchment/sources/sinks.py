@@ -75,9 +75,12 @@ def feature_lines(df: DataFrame, rings: str = "rings") -> DataFrame:
     return df.select(F.to_json(feature).alias("value"))
 
 
-def write_geojson(df: DataFrame, path: str) -> None:
-    """Newline-delimited features, the form of a FeatureCollection that can be written in parallel."""
-    feature_lines(df).write.mode("overwrite").text(path)
+def write_geojson(df: DataFrame, path: str, per_file: int = 0) -> None:
+    """Newline-delimited features, the form of a FeatureCollection that can be written in parallel.
+
+    With ``per_file`` no file holds more features than that; the number of files grows instead.
+    """
+    feature_lines(df).write.mode("overwrite").option("maxRecordsPerFile", per_file).text(path)
 
 
 def csv_to_parquet(spark: SparkSession, path: str, out: str | None = None, typed: bool = True) -> list[str]:

@@ -142,7 +142,7 @@ def _(v):
     from catchment.sources import features
 
     at = folder(v)
-    sinks.write_geojson(v.tracts.select("geoid", "rings").repartition(4), at)
+    sinks.write_geojson(v.tracts.select("geoid", "rings"), at, features.FEATURES_PER_FILE)
     features.register(v.spark)
     rows = v.spark.sql(f"""
         SELECT get_json_object(properties, '$.geoid') AS geoid, size(rings) AS n_rings, aggregate(rings, 0, (n, r) -> n + size(r)) AS n_points

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -450,3 +450,30 @@ def test_read_mixed_json_settles_types_from_values(spark, tmp_path):
     assert types["k"] == "bigint" and types["n"] == "string" and types["s"] == "string" and types["odd 'name"].startswith("decimal")
     assert "gone" not in types  # null everywhere: JSON writers leave it out, so no value says what it is
     assert sorted((r["k"], r["n"], float(r["odd 'name"]), r["s"]) for r in got.collect()) == [(1, "5", 1.5, "a"), (2, "x7", 3.0, None)]
+
+
+def test_features_are_parsed_line_by_line(monkeypatch):
+    from catchment.sources import features
+
+    one = '{"type": "Feature", "properties": {"n": %d}, "geometry": null}'
+    text = "\n".join(["", *(one % i for i in range(500)), ""])
+    parsed = []
+    loads = json.loads
+    monkeypatch.setattr(features.json, "loads", lambda t: parsed.append(len(t)) or loads(t))
+    got = features.features_of(text)
+    assert next(got)["properties"]["n"] == 0 and max(parsed) < 100
+    assert [f["properties"]["n"] for f in got] == [*range(1, 500)] and max(parsed) < 100
+    whole = '{"type": "FeatureCollection",\n "features": [%s,\n%s]}' % (one % 1, one % 2)
+    assert [f["properties"]["n"] for f in features.features_of(whole)] == [1, 2]
+    assert [f["properties"]["n"] for f in features.features_of(one % 7)] == [7]
+    assert [f["properties"]["n"] for f in features.features_of((one % 8).replace(", ", ",\n"))] == [8]
+    assert [*features.features_of(" \n ")] == []
+
+
+def test_geojson_files_hold_a_bounded_number_of_features(spark, tmp_path):
+    from catchment.sources import sinks
+
+    rows = spark.range(25, numPartitions=1).selectExpr("id", "cast(array() as array<array<struct<lon:double,lat:double>>>) as rings")
+    sinks.write_geojson(rows, str(tmp_path / "out"), 10)
+    sizes = sorted(len(f.read_text().splitlines()) for f in (tmp_path / "out").glob("part-*"))
+    assert sizes == [5, 10, 10]
