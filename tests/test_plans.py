@@ -64,3 +64,13 @@ def test_hot_key_is_spread_and_bounded(spark):
     assert got == sorted(tuple(r) for r in many.join(few, "k").select("k", "id", "v").collect())
     kept = left.join(right, keys, "left").select("k", "id", "v")
     assert kept.count() == many.join(few, "k", "left").count() == 9000
+
+
+def test_rows_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
+    """Outlines are worked out in as many tasks as a shuffle has, though their keys come from one small file."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(0, 400, numPartitions=1).selectExpr("cast(id as int) as p_partkey", "1 as p_size")
+    rows.unionByName(rows.where("p_partkey < 3")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    tracts = Views(spark, str(tmp_path)).tracts
+    held = [r["count"] for r in tracts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(held) == parts and sum(held) == 403 and max(held) <= 403 // parts + parts
