@@ -5,6 +5,10 @@ piece goes on an agenda ordered by the piece's score (ties: the pair further lef
 entries are skipped, and only the two new neighbour pairs are added. Symbols that are no piece fall back to their
 UTF-8 bytes. Each Arrow batch is also encoded by the sentencepiece library, and `agrees` says whether the two match.
 
+The new stretches of a slice have an agenda each. Those of like length are worked through in step, in arrays: a step
+takes the best pair off every agenda, merges it and offers its two new neighbour pairs. Long stretches, and lengths of
+which a slice holds few, have a heap each.
+
 Defined cases: a null or empty text gives no ids and an empty decoded text; a text of any length is encoded whole;
 equal texts give equal ids. Other columns of the frame are left as they are, whatever their names.
 """
@@ -12,11 +16,13 @@ equal texts give equal ids. Other columns of the frame are left as they are, wha
 from __future__ import annotations
 
 import heapq
+import re
+from bisect import bisect_right
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -32,7 +38,19 @@ SLICE_CHARS = 4_000_000
 #: Stretches whose ids a worker keeps for its later batches; when there are more it forgets them all, which costs
 #: time and no result.
 KEEP_STRETCHES = 400_000
-SEEN: dict[str, tuple[int, ...]] = {}
+SEEN: dict[bytes, bytes] = {}
+
+#: Stretches of up to so many characters are worked through in step with others up to that width, if there are at
+#: least IN_STEP of them, some BLOCK characters at once. Places in an agenda entry take PLACE_BITS bits.
+WIDTHS = (4, 6, 8, 10, 12, 16, 24, 32, 48)
+IN_STEP = 100
+BLOCK = 200_000
+PLACE_BITS = 8
+
+#: An agenda entry that stands for no pair.
+NONE = np.iinfo(np.int64).max
+
+IDS = np.dtype("<i4")
 
 
 class Model:
@@ -59,17 +77,73 @@ class Model:
         self.unk = next(i for i, p in enumerate(proto.pieces) if p.type == kinds.UNKNOWN)
         self.prefix = spec.add_dummy_prefix
         self.escape = spec.escape_whitespaces
-        # Merges never cross a place where a mark follows another character if no piece holds such a place:
-        # then each stretch between such places is encoded alone, and once per batch.
-        self.cuts = not any(regex.search(f"[^{SPACE}]{SPACE}", p) for p in self.score)
+        # Merges never cross a place where a mark follows another character if no piece holds such a place, nor one
+        # between two bytes that no piece has at the end of a character and the start of the next: each stretch
+        # between such places is encoded alone, and once per batch.
+        self.cuts = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.score)
+        apart = np.ones((256, 256), bool)
+        apart[:, 0x80:0xC0] = False
+        for a, b in {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}:
+            apart[a.encode("utf-8")[-1], b.encode("utf-8")[0]] = False
+        self.apart = apart.ravel()
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.number_symbols()
 
-    def normalise(self, text: str) -> str:
-        if not text:
-            return ""
+    def number_symbols(self) -> None:
+        """Numbers for the symbols that merges meet, and every mergeable pair with its rank and what it becomes."""
+        number = {p: i for i, p in enumerate(self.score)}
+        for p in self.score:
+            for c in p:
+                number.setdefault(c, len(number))
+        # One more number stands for characters in no piece and for places outside a stretch; it is in no pair.
+        self.blank = len(number)
+        self.number_of = np.full(0x110000, self.blank, np.int32)
+        for p, i in number.items():
+            if len(p) == 1:
+                self.number_of[ord(p)] = i
+        self.id_of = np.full(self.blank + 1, -1, np.int32)
+        self.id_of[: len(self.score)] = list(self.ids.values())
+        rank = {s: r for r, s in enumerate(sorted(set(self.score.values()), reverse=True))}
+        pairs = sorted(
+            (number[p[:i]] * (self.blank + 1) + number[p[i:]], rank[s], number[p])
+            for p, s in self.score.items() for i in range(1, len(p)) if p[:i] in number and p[i:] in number
+        )
+        # The last row ends the search for pairs beyond all others.
+        pairs.append(((self.blank + 1) ** 2, 0, self.blank))
+        self.pairs, ranks, self.joins = (np.array(x, np.int64) for x in zip(*pairs))
+        self.entries = ranks << PLACE_BITS
+
+    def normalise(self, texts: pa.Array) -> pa.Array:
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if self.escape:
-            text = text.replace(" ", SPACE)
-        return SPACE + text if self.prefix else text
+            texts = pc.replace_substring(texts, " ", SPACE)
+        if self.prefix:
+            marked = pc.binary_join_element_wise(pa.scalar(SPACE, pa.large_string()), texts, pa.scalar("", pa.large_string()))
+            texts = pc.if_else(pc.equal(texts, ""), texts, marked)
+        return texts
+
+    def stretches(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All stretches of normalised texts, and how many of them stand before each text and in all."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+        if offsets[0] == offsets[-1]:
+            return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+        bytes_ = texts.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
+        data, offsets = np.frombuffer(bytes_, np.uint8), offsets - offsets[0]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = self.apart[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        if self.cuts and len(data) > 2:
+            a, b, c = SPACE.encode("utf-8")
+            mark = (data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c)
+            cut[:-2] |= mark
+            cut[3:-2] &= ~(mark[:-3] & mark[3:])
+        cut[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(cut)
+        out = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data))), bytes_)
+        return out, np.searchsorted(starts, offsets)
+
+    def spell(self, char: str) -> list[int]:
+        """Ids of a character that is no piece."""
+        return [self.byte_ids[b] for b in char.encode("utf-8")] if self.byte_ids else [self.unk]
 
     def merge(self, text: str) -> list[int]:
         """Ids of a normalised stretch by the agenda of neighbour pairs."""
@@ -112,27 +186,111 @@ class Model:
             found = self.ids.get(piece)
             if found is not None:
                 out.append(found)
-            elif self.byte_ids:
-                out.extend(self.byte_ids[b] for b in piece.encode("utf-8"))
             else:
-                out.append(self.unk)
+                out.extend(self.spell(piece))
             i = nxt[i]
         return out
 
-    def encode(self, text: str | None, seen: dict[str, tuple[int, ...]] | None = None) -> list[int]:
-        """Ids of a whole text; `seen` keeps the stretches of a batch already encoded."""
-        normal = self.normalise(text or "")
-        if not self.cuts:
-            return self.merge(normal)
-        seen = {} if seen is None else seen
-        out: list[int] = []
-        for stretch in regex.split(f"(?<=[^{SPACE}])(?={SPACE})", normal):
-            ids = seen.get(stretch)
-            if ids is None:
-                ids = seen[stretch] = tuple(self.merge(stretch))
-            out.extend(ids)
+    def offer(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Agenda entries of neighbour pairs, best lowest and ties by place, and what each pair becomes."""
+        pair = left.astype(np.int64) * (self.blank + 1) + right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.entries[at] + place, NONE), self.joins[at]
+
+    def merge_in_step(self, stretches: list[str], width: int) -> list[bytes]:
+        """Ids of normalised stretches of at most `width` characters, an agenda each, the best of all taken at once.
+
+        Arrays have a row for each place and a column for each stretch, flattened; a blank row follows the last place
+        and stands before the first.
+        """
+        n = len(stretches)
+        lengths = np.fromiter(map(len, stretches), np.int64, n)
+        padded = "".join([s.ljust(width) for s in stretches])
+        points = np.frombuffer(padded.encode("utf-32-le"), "<u4").reshape(n, width).T
+        places = np.arange(width + 1)[:, None]
+        alive = places[:-1] < lengths
+        symbols = np.full((width + 1, n), self.blank, np.int64)
+        symbols[:-1][alive] = self.number_of[points[alive]]
+        agenda = np.full((width + 1, n), NONE)
+        joins = np.empty((width + 1, n), np.int64)
+        agenda[:-1], joins[:-1] = self.offer(symbols[:-1], symbols[1:], places[:-1])
+        prev = np.repeat(np.roll(places, 1), n)
+        nxt = np.repeat(np.minimum(places + 1, width), n)
+        symbols, entries, joins, alive = symbols.ravel(), agenda.ravel(), joins.ravel(), alive.ravel()
+        while True:
+            best = agenda.min(axis=0)
+            live = np.flatnonzero(best < NONE)
+            if not len(live):
+                break
+            place = best[live] & ((1 << PLACE_BITS) - 1)
+            left = place * n + live
+            right = nxt[left] * n + live
+            before, after = prev[left], nxt[right]
+            joined = symbols[left] = joins[left]
+            alive[right] = False
+            entries[right] = NONE
+            nxt[left] = after
+            after = after * n + live
+            prev[after] = place
+            entries[left], joins[left] = self.offer(joined, symbols[after], place)
+            at = before * n + live
+            entries[at], joins[at] = self.offer(symbols[at], joined, before)
+        # What is left of each stretch, one after another: ids, and characters in no piece as -1 minus their number.
+        alive = alive.reshape(width, n).T
+        points = points.T[alive]
+        ids = self.id_of[symbols.reshape(width + 1, n)[:-1].T[alive]]
+        sizes = np.ones(len(ids), np.int64)
+        odd = np.flatnonzero(ids < 0)
+        if len(odd):
+            known, which = np.unique(points[odd], return_inverse=True)
+            spelled = [self.spell(chr(c)) for c in known]
+            sizes[odd] = np.array([len(s) for s in spelled])[which]
+            starts = np.cumsum(sizes) - sizes
+            ids = np.repeat(ids, sizes)
+            for k in range(max(map(len, spelled))):
+                has = np.flatnonzero(sizes[odd] > k)
+                ids[starts[odd[has]] + k] = np.array([s[k] if k < len(s) else -1 for s in spelled])[which[has]]
+        ends = np.cumsum(sizes)[np.cumsum(alive.sum(axis=1)) - 1] * IDS.itemsize
+        flat = ids.astype(IDS).tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def merge_all(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of distinct normalised stretches."""
+        stretches.sort(key=len)
+        out: dict[str, bytes] = {}
+        start = bisect_right(stretches, 0, key=len)
+        for width in WIDTHS:
+            end = bisect_right(stretches, width, key=len)
+            if end - start >= IN_STEP:
+                step = BLOCK // width
+                for i in range(start, end, step):
+                    some = stretches[i : min(i + step, end)]
+                    out.update(zip(some, self.merge_in_step(some, width)))
+                start = end
+        for s in stretches:
+            if s not in out:
+                out[s] = np.array(self.merge(s), IDS).tobytes()
         return out
 
+    def encode_all(self, texts: pa.Array, seen: dict[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, one text after another, and where each text's begin; `seen` keeps stretches encoded."""
+        stretches, before = self.stretches(self.normalise(texts))
+        coded = stretches.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        new = self.merge_all([s.decode("utf-8") for s in distinct if s not in seen])
+        seen.update((s.encode("utf-8"), ids) for s, ids in new.items())
+        found = [seen[s] for s in distinct]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // IDS.itemsize
+        which = coded.indices.to_numpy()
+        ends = np.cumsum(sizes[which])
+        shift = (np.cumsum(sizes) - sizes)[which] - ends + sizes[which]
+        ids = np.frombuffer(b"".join(found), IDS)[np.repeat(shift, sizes[which]) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.append(0, ends)[before]
+
+    def encode(self, text: str | None, seen: dict[bytes, bytes] | None = None) -> list[int]:
+        """Ids of a whole text; `seen` keeps the stretches already encoded."""
+        return self.encode_all(pa.array([text], pa.string()), {} if seen is None else seen)[0].tolist()
+
 
 @lru_cache(maxsize=2)
 def load(path: str) -> Model:
@@ -156,14 +314,18 @@ def encode(text: str | Column, path: str) -> Column:
             while end < len(texts) and (end == start or size + lengths[end] <= SLICE_CHARS):
                 size += lengths[end]
                 end += 1
-            values = [t or "" for t in texts.slice(start, end - start).to_pylist()]
+            some = texts.slice(start, end - start)
             if len(SEEN) > KEEP_STRETCHES:
                 SEEN.clear()
-            ids = [model.encode(t, SEEN) for t in values]
-            agrees = [a == b for a, b in zip(ids, model.library.encode(values, num_threads=1))]
-            parts.append(pa.StructArray.from_arrays(
-                [pa.array(ids, pa.list_(pa.int32())), pa.array(model.library.decode(ids), pa.string()), pa.array(agrees, pa.bool_())], ["ids", "decoded", "agrees"]
-            ))
+            found, offsets = model.encode_all(some, SEEN)
+            column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()))
+            decoded, agrees = [], []
+            # Lists of ids, which take nine times their arrays, are held for one text at a time.
+            for text, a, b in zip(some.to_pylist(), offsets[:-1], offsets[1:]):
+                ids = found[a:b].tolist()
+                decoded.append(model.library.decode(ids))
+                agrees.append(ids == model.library.encode(text or ""))
+            parts.append(pa.StructArray.from_arrays([column, pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())], ["ids", "decoded", "agrees"]))
             start = end
         return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string()), ("agrees", pa.bool_())]))
 

@@ -128,7 +128,7 @@ def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catchment.llm import pieces
 
     docs = table(spark, sf_dir, "documents").select("doc_id", pieces.encode("text", public_tokenizers.path("piece_bpe_32k.model")).alias("enc"))
-    ids_text = F.concat_ws(",", F.transform("enc.ids", lambda i: i.cast("string")))
+    ids_text = F.concat_ws(",", F.col("enc.ids").cast("array<string>"))
     return docs.select(
         "doc_id",
         F.size("enc.ids").cast("long").alias("n_tokens"),

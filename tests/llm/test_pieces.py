@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import io
+import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
+import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -50,3 +55,56 @@ def test_nulls_empty_table_and_clashing_columns(spark):
     assert [r["out"]["decoded"] for r in got] == ["", "", "a b"] and [r["enc"] for r in got] == ["x", "y", "z"]
     empty = frame.limit(0).select(pieces.encode("text", PATH).alias("out"))
     assert empty.count() == 0
+
+
+def words(n, alphabet="etaoinshrdlu", longest=14, seed=3):
+    rng = random.Random(seed)
+    return list({"".join(rng.choices(alphabet, k=rng.randint(1, longest))) for _ in range(n)})
+
+
+def test_new_stretches_are_merged_in_step_not_one_by_one(monkeypatch):
+    alone, heap = [], MODEL.merge
+    monkeypatch.setattr(pieces.Model, "merge", lambda self, text: alone.append(text) or heap(text))
+    text = " ".join(words(6000))
+    seen = {}
+    assert MODEL.encode(text, seen) == MODEL.library.encode(text)
+    assert len(seen) > 4000 and len(alone) < 400
+
+
+def test_lines_and_words_are_stretches_of_their_own():
+    text = "the end.\nthe other\nthe end.\nthe"
+    seen = {}
+    assert MODEL.encode(text, seen) == MODEL.library.encode(text)
+    assert b"\n" in seen and b"the" in seen and not any(b"\n" in s and len(s) > 1 for s in seen)
+
+
+def test_steps_equal_the_heap_for_all_lengths_and_characters():
+    some = words(8000, "▁▁th einaa.\n\x00éßж日🎉", 60)
+    got = MODEL.merge_all(list(some))
+    assert got.keys() == set(some)
+    for s in some:
+        assert np.frombuffer(got[s], pieces.IDS).tolist() == MODEL.merge(s)
+
+
+def test_many_texts_at_once_with_nulls_and_marks_anywhere():
+    rng = random.Random(5)
+    texts = [None if rng.random() < 0.1 else " ".join(rng.choices(["▁", "", "a▁", "▁b", "the", "日本", "x\n", "–▁–"], k=rng.randint(0, 9))) for _ in range(3000)]
+    part = pa.array(texts).slice(7, 2900)
+    ids, offsets = MODEL.encode_all(part, {})
+    for text, a, b in zip(part.to_pylist(), offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == MODEL.library.encode(text or "")
+    ids, offsets = MODEL.encode_all(pa.array([None, ""], pa.string()), {})
+    assert len(ids) == 0 and offsets.tolist() == [0, 0, 0]
+
+
+def test_model_without_a_leading_mark(tmp_path):
+    made = io.BytesIO()
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter([" ".join(words(300, "abcd", 6, seed)) for seed in range(50)]), model_writer=made, vocab_size=400, model_type="bpe",
+        byte_fallback=True, add_dummy_prefix=False, remove_extra_whitespaces=False, normalization_rule_name="identity", minloglevel=2,
+    )
+    (tmp_path / "small.model").write_bytes(made.getvalue())
+    model = pieces.Model(str(tmp_path / "small.model"))
+    texts = ["a b", " a", "▁", "ab▁cd", "é▁a", "", *(" ".join(words(200, "abcde ▁", 9, seed)) for seed in range(20))]
+    for text in texts:
+        assert model.encode(text) == model.library.encode(text)
